@@ -120,13 +120,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     taken = taken.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("draws"), F.max("passes").alias("b_passes"))
     taken = taken.join(blocks.select("rank", "block", "rest_of", "left"), ["rank", "block"])
 
-    # of a block in which the rest ends, the longest documents that fit, up to the one whose middle lies beyond that end
+    # of a block in which the rest ends, the documents that fit whole, and the one other nearest to what is left then
     rows = dealt.join(taken, ["rank", "block"], "left")
     is_cut = F.col("rest_of") == "cut"
-    inside = Window.partitionBy("rank", "block").orderBy(F.col("fits").desc(), F.col("size").desc(), F.xxhash64(F.lit(seed + 3), "doc_id"), "doc_id")
-    within = rows.where(is_cut).withColumn("fits", F.col("size") <= F.col("left"))
-    within = within.withColumn("before", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    within = within.withColumn("in_rest", F.col("fits") & (F.col("before") + F.col("size") / 2 <= F.col("left"))).drop("before", "fits")
+    block = Window.partitionBy("rank", "block")
+    inside = block.orderBy(F.xxhash64(F.lit(seed + 3), "doc_id", "size"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    within = rows.where(is_cut).withColumn("upto", F.sum("size").over(inside))
+    within = within.withColumn("fits", F.col("upto") <= F.col("left"))
+    within = within.withColumn("gap", F.col("left") - F.coalesce(F.max(F.when(F.col("fits"), F.col("upto"))).over(block), F.lit(0)))
+    nearest = block.orderBy("fits", F.abs(F.col("size") - F.col("gap")), F.xxhash64(F.lit(seed + 3), "doc_id", "size"), "doc_id", "size")
+    nearest = (F.row_number().over(nearest) == 1) & (F.abs(F.col("size") - F.col("gap")) < F.col("gap"))
+    within = within.withColumn("nearest", nearest).withColumn("in_rest", F.col("fits") | F.col("nearest")).drop("upto", "fits", "gap", "nearest")
     rows = rows.where(~F.coalesce(is_cut, F.lit(False))).withColumn("in_rest", F.lit(True)).unionByName(within)
     mine = F.filter("draws", lambda d: (d["pass"] < F.col("passes")) | F.col("in_rest"))
     placed = F.transform(mine, lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"), F.xxhash64(F.lit(seed + 4), "doc_id", d["pass"]).alias("place")))
