@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from structmill.llm import decontaminate, mixing, quality, toxicity, url_filter
+from structmill.llm import decontaminate, mixing, quality, topk, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -14,10 +14,11 @@ def _over(function, *tables):
 
 
 QUERIES = {
+    "op4_topk": _over(topk.op4_topk, "embeddings"),
     "op10_decontaminate": _over(decontaminate.op10_decontaminate, "documents", "benchmark"),
     "op3_mix": _over(mixing.op3_mix, "documents"),
     "op5_url_filter": _over(url_filter.op5_url_filter, "pages"),
     "op6_toxicity": _over(toxicity.op6_toxicity, "documents", "labels"),
     "op7_quality": _over(quality.op7_quality, "documents", "labels"),
 }
-ORACLES = {"op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE}
+ORACLES = {"op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE}
