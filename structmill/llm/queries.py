@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from structmill.llm import decontaminate, mixing, quality, substrings, topk, toxicity, url_filter
+from structmill.llm import decontaminate, jaccard, mixing, quality, substrings, topk, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -14,6 +14,7 @@ def _over(function, *tables):
 
 
 QUERIES = {
+    "op2_jaccard": _over(jaccard.op2_jaccard, "documents"),
     "op9_substrings": _over(substrings.op9_substrings, "documents"),
     "op4_topk": _over(topk.op4_topk, "embeddings"),
     "op10_decontaminate": _over(decontaminate.op10_decontaminate, "documents", "benchmark"),
@@ -22,4 +23,4 @@ QUERIES = {
     "op6_toxicity": _over(toxicity.op6_toxicity, "documents", "labels"),
     "op7_quality": _over(quality.op7_quality, "documents", "labels"),
 }
-ORACLES = {"op9_substrings": substrings.ORACLE, "op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE}
+ORACLES = {"op2_jaccard": jaccard.ORACLE, "op9_substrings": substrings.ORACLE, "op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE}
