@@ -1,8 +1,15 @@
-"""STAGES of the training-data pipeline; each reads what the one before has kept."""
+"""STAGES of the training-data pipeline; each reads what the one before has kept.
+
+Toxic documents go, one document of each near-copy component stays, documents
+with benchmark windows go, personal data is redacted, and sources are mixed.
+"""
 
 from __future__ import annotations
 
-from structmill.llm import toxicity
+from pyspark.sql import functions as F
+
+from structmill.llm import decontaminate, jaccard, mixing, pii, toxicity
+from structmill.llm.shared import saved
 
 
 def _table(spark, sf_dir, name):
@@ -13,15 +20,43 @@ def drop_toxic(spark, docs, sf_dir):
     return toxicity.keep_clean(docs, _table(spark, sf_dir, "labels"))
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_near_copies(spark, docs, sf_dir):
+    """Five-word shingles and a similarity of 0.8 or more."""
+    return jaccard.keep_one(docs)
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    return decontaminate.keep_uncontaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def redact_personal_data(spark, docs, sf_dir):
+    return pii.redact(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The columns of documents, then size, source_size, target, taken and the shard of each take; documents not taken go."""
+    mixed = mixing.mix(docs, keep=tuple(docs.columns)).where(F.size("draws") > 0)
+    taken = (F.col("size") * F.size("draws")).cast("long").alias("taken")
+    return mixed.select(*docs.columns, "size", "source_size", "target", taken, F.transform("draws", lambda d: d["shard"]).alias("shards"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", redact_personal_data),
+    ("mixing", mix_sources),
+]
+#: SQL can't express the classifier, the CRF or the seeded draws.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """All stages over documents, each written and read again as the next one's documents."""
     docs = _table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 QUERIES = {"pipeline": run}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from structmill.llm import decontaminate, jaccard, mixing, pitman_yor, quality, substrings, topk, toxicity, url_filter
+from structmill.llm import decontaminate, jaccard, mixing, pii, pitman_yor, quality, substrings, topk, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -14,6 +14,7 @@ def _over(function, *tables):
 
 
 QUERIES = {
+    "op8_pii": _over(pii.op8_pii, "documents"),
     "op1_pitman_yor": _over(pitman_yor.op1_pitman_yor, "documents"),
     "op2_jaccard": _over(jaccard.op2_jaccard, "documents"),
     "op9_substrings": _over(substrings.op9_substrings, "documents"),
