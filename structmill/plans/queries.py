@@ -13,6 +13,7 @@ from structmill.functions import geometry, ids, sequences
 from structmill.operators import aggregates as agg
 from structmill.operators import clustering, lineage, quality, relational, resolve, windows
 from structmill.operators.components import connected_components
+from structmill.shared import saved
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -434,7 +435,7 @@ def _edges(lineitem):
 
 @query("lineitem", sql=f"WITH RECURSIVE {EDGES}, b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r(x, y) AS (SELECT u, u FROM b UNION SELECT r.x, b.v FROM r JOIN b ON r.y = b.u) SELECT x AS node, min(y) AS component FROM r GROUP BY 1")
 def components(lineitem):
-    return connected_components(_edges(lineitem), lambda df: df.persist())
+    return connected_components(_edges(lineitem), lambda df: saved(df, "components"))
 
 
 @query("customer", "nation", sql="""
