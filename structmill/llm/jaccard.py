@@ -3,7 +3,8 @@
 Documents with equal shingle sets are one class, represented by the smallest
 doc_id.  Of a light class (few shingles) all subsets of the fixed size that a
 pair of two sizes must share are enumerated as keys; of a heavy class the rarest
-shingles, of which every partner must hold one (its prefix), are inverted lists.
+shingles, of which every partner must hold one (its prefix), are inverted lists
+with the shingle's place: linked classes' first shared shingle stands early in both.
 Sizes are light up to where enumerating costs more than scanning lists.  Classes
 that share a key are candidates; exact set intersections decide.
 
@@ -39,7 +40,7 @@ WIDTH, PERCENT = 3, 90
 SKETCH_BITS, SLICE = 21, 1 << 15
 LIGHT_AT_MOST = 64
 HISTOGRAM = 64
-ROUNDS = 3
+ROUNDS = 2
 BROADCAST_ROWS = 300_000
 _NONE = (1 << 63) - 1
 
@@ -164,11 +165,13 @@ def _describe(batches, width, percent, light, shared):
             keys = W.mix(s[prefix], 534).view(np.int64)
             cuts = np.cumsum(length)
             lists = np.split(keys, cuts[:-1])
+            places = np.split((np.arange(len(s)) - begin[at])[np.arange(len(s)) - begin[at] < length[at]].astype(np.int32), cuts[:-1])
             for i in np.flatnonzero(n <= light):
                 mine = np.array(_light_keys(W.mix(s[begin[i] : begin[i] + n[i]], 535), percent), np.uint64)
                 lists[i] = np.append(lists[i], W.mix(mine, 536).view(np.int64))
-            columns = [pa.array(ids[lo + docs]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array([x.tobytes() for x in histogram]), pa.array([np.unique(x) for x in lists], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "histogram", "keys"])
+                places[i] = np.append(places[i], np.zeros(len(mine), np.int32))
+            columns = [pa.array(ids[lo + docs]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(histogram.astype(np.int32).ravel()), HISTOGRAM).cast(pa.list_(pa.int32())), pa.array(lists, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "histogram", "keys", "places"])
 
 
 def _whole_sets(batches, width):
@@ -185,7 +188,7 @@ def _near_histograms(batches, percent):
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b = (np.frombuffer(W.buffers(batch.column(c))[0].tobytes(), np.uint16).reshape(-1, HISTOGRAM).astype(np.int64) for c in ("ha", "hb"))
+        a, b = (batch.column(c).flatten().to_numpy().reshape(-1, HISTOGRAM).astype(np.int64) for c in ("ha", "hb"))
         na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
         keep = np.abs(a - b).sum(1) <= na + nb - 2 * overlap(na, nb, percent)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -220,14 +223,14 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     counts, sizes = sketch(rows, width)
     light = boundary(counts, sizes, percent)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    kind = "doc_id long, n long, k1 long, k2 long, histogram binary, keys array<bigint>"
+    kind = "doc_id long, n long, k1 long, k2 long, histogram array<int>, keys array<bigint>, places array<int>"
     sets = saved(rows.mapInArrow(partial(_describe, width=width, percent=percent, light=light, shared=shared), kind), "described")
     shape = ["n", "k1", "k2"]
     reps = saved(sets.groupBy(*shape).agg(F.min("doc_id").alias("rep")), "reps")
     classes = sets.join(reps.withColumnRenamed("rep", "doc_id"), [*shape, "doc_id"]).dropDuplicates([*shape, "doc_id"])
-    classes = saved(classes.select(F.col("doc_id").alias("rep"), "n", "histogram", "keys"), "classes")
+    classes = saved(classes.select(F.col("doc_id").alias("rep"), "n", "histogram", "keys", "places"), "classes")
 
-    listed = classes.select(F.explode("keys").alias("key"), "rep", "n")
+    listed = classes.select(F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place"))), "rep", "n")
     several = listed.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > 1).select("key")
     lists = saved(listed.join(several, "key", "left_semi").withColumn("c", F.col("rep")), "lists")
     save = partial(saved, name="components")
@@ -240,14 +243,20 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
             lists = saved(lists.join(mixed, "key", "left_semi"), "lists")
             if lists.isEmpty():
                 break
-        other = lists.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
+        other = lists.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("c").alias("c2"))
         if turn < ROUNDS:
-            centre = F.min(F.struct(F.xxhash64(F.lit(turn), "rep2").alias("h"), "rep2", "n2", "c2")).alias("m")
-            other = other.groupBy("key").agg(centre).select("key", "m.rep2", "m.n2", "m.c2")
+            centre = F.min(F.struct(F.xxhash64(F.lit(turn), "rep2").alias("h"), "rep2", "n2", "place2", "c2")).alias("m")
+            other = other.groupBy("key").agg(centre).select("key", "m.rep2", "m.n2", "m.place2", "m.c2")
             apart = F.lit(True)
-        else:
-            apart = F.col("rep") < F.col("rep2")
-        fits = (F.greatest("n", "n2") * percent <= F.least("n", "n2") * 100) & (F.col("c") != F.col("c2")) & apart
+        else:  # few lists are left; the histograms' bound on the difference goes into the join
+            lists = lists.join(small(classes.select("rep", "histogram").join(lists.select("rep").distinct(), "rep", "left_semi"), BROADCAST_ROWS // 10), "rep")
+            other = other.join(lists.select("key", F.col("rep").alias("rep2"), F.col("histogram").alias("histogram2")), ["key", "rep2"])
+            difference = F.aggregate(F.zip_with("histogram", "histogram2", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
+            apart = (F.col("rep") < F.col("rep2")) & ((F.col("n") + F.col("n2") - difference) * (100 + percent) >= 2 * percent * (F.col("n") + F.col("n2")))
+        # if this is the first shared shingle in order of rarity, none before its place is shared
+        least = (F.col("n") + F.col("n2")) * percent
+        room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) * (100 + percent) >= least
+        fits = (F.greatest("n", "n2") * percent <= F.least("n", "n2") * 100) & room & (F.col("c") != F.col("c2")) & apart
         pairs = lists.join(other, "key").where(fits).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
         new = _verified(pairs, classes, rows, width, percent)
         links = new if links is None else saved(links.union(new), "links")

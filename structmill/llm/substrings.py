@@ -33,8 +33,8 @@ from structmill.llm.shared import saved
 WIDTH = 20
 ROUNDS = 2
 LONGEST = 8
-#: Documents with removals up to which their table is broadcast to the last pass; beyond, texts are shuffled.
-BROADCAST_ROWS = 300_000
+#: Flags (8 bytes for 31 windows) up to which their table is broadcast to the last pass; beyond, texts are shuffled.
+BROADCAST_CELLS = 4_000_000
 _FAR = np.int64(1) << 40
 _SCHEMA = "key long, doc_id long, tid long, start int, subs binary, mask int"
 
@@ -216,10 +216,9 @@ def _keeps(batches):
             begin = np.searchsorted(doc, np.arange(hi - lo + 1))
             cover = np.zeros(len(start) + 1, np.int64)
             for i in range(lo, hi):
-                flags = cells[i].as_py()
-                if flags:
-                    first = np.array([f["start"] for f in flags])
-                    mask = np.array([f["mask"] for f in flags])
+                if cells[i].is_valid:
+                    flags = cells[i].values.to_numpy()
+                    first, mask = flags >> 31, flags & 0x7FFFFFFF
                     at = np.unique((first[:, None] + np.arange(31))[(mask[:, None] >> np.arange(31)) & 1 > 0]) + begin[i - lo]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + WIDTH, -1)
@@ -251,8 +250,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = rows.where(F.length("text") >= 2 * WIDTH - 1).mapInArrow(_sends, _SCHEMA)
     found = sent.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_compares, "doc_id long, tid long, start int, mask int")
-    flags = saved(found.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("start", "mask")).alias("cells")), "repeats")
-    few = flags.count() <= BROADCAST_ROWS
+    flags = saved(found.groupBy("doc_id", "tid").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 31).bitwiseOR(F.col("mask").cast("long"))).alias("cells")), "repeats")
+    few = (flags.agg(F.sum(F.size("cells"))).first()[0] or 0) <= BROADCAST_CELLS
     flags = flags.withColumnsRenamed({"doc_id": "f_id", "tid": "f_tid"})
     joined = rows.join(F.broadcast(flags) if few else flags, (F.col("doc_id") == F.col("f_id")) & (F.col("tid") == F.col("f_tid")), "left")
     joined = joined.select(F.when(F.col("doc_id") != last, F.col("doc_id")).alias("doc_id"), "text", "cells")
