@@ -84,18 +84,31 @@ def train(texts: list[str], labels: np.ndarray, p: Params) -> np.ndarray:
     if n == 0 or labels.min() == labels.max():
         rate = (labels.sum() + 1) / (n + 2) if n else 0.5
         return np.append(np.zeros(1 << p.bits), np.log(rate / (1 - rate))).astype(np.float32)
-    docs = []  # of each text: its passages, as distinct buckets and their shares
-    for text in texts:
+
+    def parts(text):
+        """Passage and bucket of the text's features as one key, distinct and sorted, their counts, and the passages."""
         data, offsets = W.buffers(pa.array([text], pa.string()))
         ids, word, doc = features(data, offsets, p)
         passage, first = passages(doc, 1, p)
-        key, counts = np.unique(passage[word] << p.bits | ids, return_counts=True)
-        cut = np.searchsorted(key, np.arange(1, first[-1]) << p.bits)
-        docs.append([(k.astype(np.int32), (c / max(1, c.sum())).astype(np.float32)) for k, c in zip(np.split(key & ((1 << p.bits) - 1), cut), np.split(counts, cut))])
+        return *np.unique(passage[word] << p.bits | ids, return_counts=True), int(first[-1])
+
+    # twice, so that rare buckets are never held
+    low = (1 << p.bits) - 1
     seen = np.zeros(1 << p.bits, np.int32)
-    for parts in docs:
-        seen[np.unique(np.concatenate([ids for ids, _ in parts]))] += 1
-    docs = [[(ids[k := seen[ids] >= p.min_texts], share[k]) for ids, share in parts] for parts in docs]
+    for text in texts:
+        seen[np.unique(parts(text)[0] & low)] += 1
+    held, shares, cuts, begin = [], [], [0], [0]  # passages of all texts end to end; begin: of each text, its first passage
+    for text in texts:
+        key, counts, many = parts(text)
+        total = np.bincount(key >> p.bits, counts, many)
+        known = seen[key & low] >= p.min_texts
+        key, counts = key[known], counts[known]
+        held.append((key & low).astype(np.int32))
+        shares.append((counts / total[key >> p.bits]).astype(np.float32))
+        cuts += (cuts[-1] + np.searchsorted(key, np.arange(1, many + 1) << p.bits)).tolist()
+        begin.append(begin[-1] + many)
+    held, shares = np.concatenate(held), np.concatenate(shares)
+    docs = [[(held[a:b], shares[a:b]) for a, b in zip(cuts[i:j], cuts[i + 1 : j + 1])] for i, j in zip(begin, begin[1:])]
     vectors = rng.normal(0, 1e-3, (1 << p.bits, p.dim)).astype(np.float32)
     out = rng.normal(0, 1 / np.sqrt(p.dim), p.dim).astype(np.float32)
     out = np.stack([-out, out])
