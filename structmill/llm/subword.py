@@ -136,21 +136,29 @@ def train(texts: list[str], labels: np.ndarray, p: Params) -> np.ndarray:
 def log_odds(column: pa.Array, model: np.ndarray, p: Params) -> np.ndarray:
     """Of each whole text, that of its likeliest passage; a text without words gets the bias."""
     data, offsets = W.buffers(column)
-    best = np.full(len(offsets) - 1, -np.inf)
-    weight, room = model[:-1], W.CHUNK * 2
+    n = len(offsets) - 1
+    best, total, many = np.full(n, -np.inf), np.zeros(n), np.zeros(n, np.int64)
+    weight, room = model[:-1], W.CHUNK // 2
     for lo, hi in W.slices(offsets, room):
         a, stop = int(offsets[lo]), int(offsets[hi])
-        while True:  # a longer document goes in pieces, cut at blanks: their passages count like its own
+        while True:  # a longer document goes in pieces, cut at blanks; with passages, those of its pieces count like its own
             b = _at_blank(data, a + room, stop)
             ids, word, doc = features(data[a:b], np.clip(offsets[lo : hi + 1], a, b) - a, p)
-            passage, first = passages(doc, hi - lo, p)
-            sums = np.bincount(passage[word], weight[ids], first[-1])
-            mean = sums / np.maximum(np.bincount(passage[word], minlength=first[-1]), 1)
-            found = np.maximum.reduceat(mean, first[:-1])
-            best[lo:hi] = np.where(np.bincount(doc, minlength=hi - lo) > 0, np.maximum(best[lo:hi], found), best[lo:hi])
+            if p.passage:
+                passage, first = passages(doc, hi - lo, p)
+                sums = np.bincount(passage[word], weight[ids], first[-1])
+                mean = sums / np.maximum(np.bincount(passage[word], minlength=first[-1]), 1)
+                found = np.maximum.reduceat(mean, first[:-1])
+                best[lo:hi] = np.where(np.bincount(doc, minlength=hi - lo) > 0, np.maximum(best[lo:hi], found), best[lo:hi])
+            else:
+                owner = doc[word]
+                total[lo:hi] += np.bincount(owner, weight[ids], hi - lo)
+                many[lo:hi] += np.bincount(owner, minlength=hi - lo)
             a = b
             if a >= stop:
                 break
+    if not p.passage:
+        return total / np.maximum(many, 1) + model[-1]
     return np.where(np.isfinite(best), best, 0.0) + model[-1]
 
 
