@@ -34,10 +34,11 @@ def redact_personal_data(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The columns of documents, then size, source_size, target, taken and the shard of each take; documents not taken go."""
-    mixed = mixing.mix(docs, keep=tuple(docs.columns)).where(F.size("draws") > 0)
+    """The columns of documents (but for those of the names that follow), then size, source_size, target, taken and the shard of each take; documents not taken go."""
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards", "draws")]
+    mixed = mixing.mix(docs, keep=tuple(own)).where(F.size("draws") > 0)
     taken = (F.col("size") * F.size("draws")).cast("long").alias("taken")
-    return mixed.select(*docs.columns, "size", "source_size", "target", taken, F.transform("draws", lambda d: d["shard"]).alias("shards"))
+    return mixed.select(*own, "size", "source_size", "target", taken, F.transform("draws", lambda d: d["shard"]).alias("shards"))
 
 
 STAGES = [

@@ -278,14 +278,14 @@ def op2_jaccard(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, that with the smallest doc_id, with its columns; repeated rows of it once."""
-    chosen = near_copies(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    chosen = near_copies(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
     chosen = saved(chosen, "kept")
-    kept = docs.join(small(chosen, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
+    kept = docs.join(small(chosen, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("__rows")).where("__rows > 1").select(F.col("doc_id").alias("__again"))
     repeated = small(saved(repeated, "repeated"), BROADCAST_ROWS)
-    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    same = F.col("doc_id").eqNullSafe(F.col("__again"))
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    some = kept.join(repeated, same, "left_semi").withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
+    some = kept.join(repeated, same, "left_semi").withColumn("__first", F.row_number().over(first)).where("__first = 1").drop("__first")
     return kept.join(repeated, same, "left_anti").unionByName(some)
 
 

@@ -353,8 +353,9 @@ def op8_pii(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data in their texts replaced, and n_chars counted anew."""
-    rest = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    out = personal_data(docs, rest).withColumn("text", F.col("redacted"))
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    named = docs.select(*[F.col(c).alias(f"d_{c}") for c in rest], "text")
+    new = {c: F.col(f"d_{c}") for c in rest} | {"text": F.col("redacted")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("redacted").cast(docs.schema["n_chars"].dataType)
+    return personal_data(named, tuple(f"d_{c}" for c in rest)).select(*[new[c].alias(c) for c in docs.columns])

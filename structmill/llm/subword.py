@@ -33,6 +33,7 @@ class Params:
     rate: float = 1.5
     out_rate: float = 0.01
     gain: float = 50.0
+    most_step: float = 40.0
     min_texts: int = 5
     passage: int = 0
     seed: int = 7
@@ -126,7 +127,10 @@ def train(texts: list[str], labels: np.ndarray, p: Params) -> np.ndarray:
             z = np.exp(z - z.max())
             back = z / z.sum() - one[labels[i]]
             # the ids of one passage are distinct, so one indexed assignment updates them all
-            vectors[ids] -= np.outer(share * (rate * p.gain), back @ out)
+            # a step moves the text's own log-odds by ``most_step`` at most, which short texts would pass and diverge
+            turn = rate * np.float32(p.gain**2) * (share @ share) * ((out[1] - out[0]) @ (out[1] - out[0]))
+            step = rate * np.float32(p.gain) * min(np.float32(1), np.float32(p.most_step) / max(turn, np.float32(1e-9)))
+            vectors[ids] -= np.outer(share * step, back @ out)
             out -= np.float32(p.out_rate) * rate * np.outer(back, mean)
             bias -= np.float32(p.out_rate) * rate * back
     fold = np.where(seen >= p.min_texts, vectors @ (out[1] - out[0]) * p.gain, 0)
@@ -194,6 +198,11 @@ def held_out(modulus: int, held: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == held, F.lit(False))
 
 
+def prefixed(docs: DataFrame) -> DataFrame:
+    """The columns of docs, renamed but for text, so that none has the name of a result."""
+    return docs.toDF(*[c if c == "text" else f"d_{c}" for c in docs.columns])
+
+
 def classify(docs: DataFrame, model: np.ndarray, p: Params, threshold: float, keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns ``keep`` of docs, then score (0 to 1) and predicted (1 from the threshold up) of each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -31,4 +31,7 @@ def op6_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    return toxicity(docs, labels, threshold, keep=tuple(docs.columns)).where(F.col("predicted") == 0).select(*docs.columns)
+    model = subword.train(*subword.sample(docs, labels, "toxic", MODULUS, HELD, PARAMS), PARAMS)
+    named = subword.prefixed(docs)
+    clean = subword.classify(named, model, PARAMS, threshold, tuple(named.columns)).where(F.col("predicted") == 0)
+    return clean.select(*[F.col(n).alias(c) for n, c in zip(named.columns, docs.columns)])
