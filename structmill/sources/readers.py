@@ -67,10 +67,12 @@ def _text(content: bytes) -> str:
 
 
 def _parsed(spark, path, parse, schema):
+    names = StructType.fromDDL(schema).names
+
     def each(batches):
         for rows in batches:
             out = [(p, *r) for p, c in zip(rows["path"], rows["content"]) for r in parse(_text(c))]
-            yield pd.DataFrame(out, columns=StructType.fromDDL(schema).names)
+            yield pd.DataFrame(out, columns=names)
 
     return _files(spark, path).mapInPandas(each, schema)
 
