@@ -6,10 +6,12 @@ stand for, so they are global without a table of names.  Each symbol carries the
 range of words that its making looked at; equal ranges make equal symbols, so a
 window of words that holds the range of a high-level symbol holds that symbol in
 every occurrence.  Windows go to the task of the longest symbol that they hold
-(key), in runs, with 32 more bits each; tasks compare (key, bits) and flag all
-but the first occurrence.  Windows that hold no symbol go by their own hash.
+(key), in runs, with a 64-bit hash of the whole window each; tasks compare (key,
+hash) and flag all but the first occurrence.  Windows that hold no symbol go by
+another hash of their own.
 
-Equal windows are told by 96 bits together.  Before the shuffle each slice of
+Windows under one symbol are told apart by the 64 bits alone, as they share the
+key; of n of them about n^2 / 2^65 pairs match falsely.  Before the shuffle each slice of
 documents flags its own repeats and sends the first only, so a passage that a
 third of all documents share arrives once a slice.
 
@@ -87,11 +89,11 @@ def _look(lo, hi, own, leftwards, rightwards):
 
 
 def anchors(h: np.ndarray, doc: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each window within one document: its first word, key, and 32 more bits."""
+    """Of each window within one document: its first word, key, and a hash of all its words that the key has no part in."""
     whole, inside = W.windows(h, doc, width)
     at = np.flatnonzero(inside)
     if not len(at):
-        return at, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        return at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     name, start, size, lo, hi = symbols(h, doc)
     first = np.searchsorted(start, at)
     best, chosen = np.zeros(len(at), np.int64), np.full(len(at), -1)
@@ -106,9 +108,8 @@ def anchors(h: np.ndarray, doc: np.ndarray, width: int = WIDTH) -> tuple[np.ndar
             break
         better = (lo[j] >= at[live]) & (hi[j] < at[live] + width) & (size[j] > best[live])
         best[live[better]], chosen[live[better]] = size[j[better]], j[better]
-    whole = whole[at]
-    key = np.where(chosen >= 0, W.mix(name[chosen], 400), W.mix(whole, 401))
-    return at, key, (whole >> np.uint64(32)).astype(np.uint32)
+    key = np.where(chosen >= 0, W.mix(name[chosen], 400), W.mix(whole[at], 401))
+    return at, key, W.windows(h, doc, width, 1)[0][at]
 
 
 def _runs(key, row, pos, wanted):
@@ -153,7 +154,7 @@ def _sends(batches):
             pos = (at - begin[row]).astype(np.int64)
             doc_id, tid = ids[lo + row], tids[lo + row]
             with np.errstate(over="ignore"):
-                wid = W.mix(key, 5) ^ (sub.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                wid = W.mix(key, 5) ^ (sub * np.uint64(0x9E3779B97F4A7C15))
             order = np.lexsort((pos, doc_id, wid))
             again = np.append(False, (wid[order[1:]] == wid[order[:-1]]) & (key[order[1:]] == key[order[:-1]]) & (sub[order[1:]] == sub[order[:-1]]))
             # all but the group's first place
@@ -165,23 +166,23 @@ def _sends(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key[a].view(np.int64)), pa.array(doc_id[a]), pa.array(tid[a]), pa.array(pos[a].astype(np.int32)), _binaries(subs, n), pa.array(np.zeros(len(a), np.int32))], names=["key", "doc_id", "tid", "start", "subs", "mask"])
             if late.any():
                 d, t, s, m = _flag_rows(doc_id, tid, pos, late)
-                empty = _binaries(np.zeros(0, np.uint32), np.zeros(len(d), np.int64))
+                empty = _binaries(np.zeros(0, np.uint64), np.zeros(len(d), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(W.mix(d.view(np.uint64), 6).view(np.int64)), pa.array(d), pa.array(t), pa.array(s), empty, pa.array(m)], names=["key", "doc_id", "tid", "start", "subs", "mask"])
 
 
 def _compares(batches):
-    """Flags of all windows but the first of each (key, bits); rows come sorted by key, document and start."""
+    """Flags of all windows but the first of each (key, hash); rows come sorted by key, document and start."""
 
     def flags(table):
         key, doc_id, tid, start, mask = (table.column(c).to_numpy() for c in ("key", "doc_id", "tid", "start", "mask"))
         data, offsets = W.buffers(table.column("subs"))
-        n = np.diff(offsets) // 4
+        n = np.diff(offsets) // 8
         known = n == 0
-        sub = np.frombuffer(data.tobytes(), np.uint32)
+        sub = np.frombuffer(data.tobytes(), np.uint64)
         row = np.repeat(np.arange(len(n)), n)
         pos = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         with np.errstate(over="ignore"):
-            wid = W.mix(key[row].view(np.uint64), 5) ^ (sub.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            wid = W.mix(key[row].view(np.uint64), 5) ^ (sub * np.uint64(0x9E3779B97F4A7C15))
         order = np.argsort(wid, kind="stable")
         again = np.append(False, (wid[order[1:]] == wid[order[:-1]]) & (sub[order[1:]] == sub[order[:-1]]) & (key[row[order[1:]]] == key[row[order[:-1]]]))
         lead = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))] if len(order) else order

@@ -236,6 +236,20 @@ def test_urls(spark):
     assert (got.host[got.page_id < 4] == "").all() and url_filter.op5_url_filter(pages.limit(0)).count() == 0
 
 
+#: Pairs of windows that share a symbol and 32 bits of one hash of their words.
+ALIKE = [
+    ("b a a b b a b b a b b a b a b b a a a a", "a b b a a a b b b a b a b b a b b b a a"),
+    ("a b b b a b b b a b b a a b b a b a a b", "a b b a a a b b a b b b a a b b a a b b"),
+    ("a b a a b a a b a b a b b b a a b a b b", "b a b a b a b a b b b a b b b a b a b b"),
+]
+
+
+@pytest.mark.parametrize("pair", ALIKE)
+def test_windows_of_one_symbol_are_told_apart(spark, pair):
+    got = substrings.op9_substrings(spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")).toPandas()
+    assert got.n_removed.tolist() == [0, 0]
+
+
 def test_phrases_and_proximity(spark):
     docs = spark.createDataFrame([(1, "x a b c d"), (2, "a z b c d"), (3, "d c b a")], "doc_id long, text string")
     phrases = spark.createDataFrame([(["a", "b", "c"],), (["d"],), (["q", "a"],)], "phrase array<string>")
