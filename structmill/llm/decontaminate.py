@@ -41,12 +41,13 @@ def item_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, width))).alias("phrase")).distinct()
 
 
-def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, row: Column | None = None) -> DataFrame:
     """Stored postings row, doc_id, term, pos of the given terms in all documents, and one END posting a document.
 
-    Postings stay with their document's partition, so building it shuffles nothing.
+    ``row`` is a saved key of the documents' rows, if they have one.  Postings stay with their document's partition, so building it shuffles nothing.
     """
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("w"))
+    row = F.monotonically_increasing_id() if row is None else row
+    rows = docs.select("doc_id", row.alias("row"), words(F.col("text")).alias("w"))
     rows = rows.select("doc_id", "row", F.posexplode(F.array_append("w", F.lit(END))).alias("pos", "term"))
     known = terms.select("term").unionByName(terms.sparkSession.createDataFrame([(END,)], "term string"))
     return saved(rows.join(small(known, BROADCAST_ROWS), "term", "left_semi").select("row", "doc_id", "term", "pos"), "postings")
@@ -106,10 +107,10 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, slop: int = 2) -> Da
     return found.where(F.col("len") == 1).select("row", "phrase", "len", "at").unionByName(seen.where(F.col("n") == F.col("len") - 1).drop("n"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, row: Column | None = None) -> DataFrame:
     """row, doc_id, n_words, n_hit (words inside any occurrence) and items (sorted texts of item_id) of every document."""
     windows = saved(item_windows(items, width), "windows")
-    index = build_index(docs, windows.select(F.explode("phrase").alias("term")).distinct())
+    index = build_index(docs, windows.select(F.explode("phrase").alias("term")).distinct(), row)
     found = saved(phrase_matches(index, windows), "matches")
     hit = found.select("row", F.explode(F.sequence("start", F.col("start") + F.col("len") - 1)).alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     named = found.select("row", "phrase").distinct().join(small(windows, BROADCAST_ROWS), "phrase").groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
@@ -124,9 +125,10 @@ def op10_decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a hit, with their columns.  A doc_id that repeats goes if any of its rows is hit."""
-    bad = contamination(docs, items).where(F.col("n_hit") > 0).select("doc_id").distinct()
-    return docs.join(small(bad, BROADCAST_ROWS), docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The rows without a hit, with their columns, each judged by its own text."""
+    keyed = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    bad = contamination(keyed, items, row=F.col("__row")).where(F.col("n_hit") > 0).select(F.col("row").alias("__bad"))
+    return keyed.join(small(bad, BROADCAST_ROWS), F.col("__row") == F.col("__bad"), "left_anti").drop("__row")
 
 
 ORACLE = r"""

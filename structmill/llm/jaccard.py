@@ -16,8 +16,9 @@ pairs of a list that are still unconnected are tested one by one.  So classes
 are connected exactly as all links would connect them.
 
 Defined cases: documents without words, null ones too, have 0 shingles and are
-their own component; a null doc_id counts as the largest id; rows of one doc_id
-are one document.
+their own component; a null doc_id counts as the largest id, and each row without
+one is a document of its own; for ``near_copies`` rows of one doc_id are one
+document, while ``keep_one`` judges each row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from structmill.llm import words as W
 from structmill.llm.shared import saved, small
@@ -219,10 +219,21 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
 def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # rows without an id have saved keys, from the largest number down
+    nameless = saved(rows.where("doc_id is null").select((F.lit(_NONE) - F.monotonically_increasing_id()).alias("doc_id"), "text"), "nameless")
+    out = _components(rows.where("doc_id is not null").unionByName(nameless), width, percent)
+    keys = small(nameless.select(F.col("doc_id").alias("__key")), BROADCAST_ROWS)
+    null = lambda c: F.when(F.col("__key").isNull(), F.col(c)).alias(c)
+    out = out.join(keys, F.col("doc_id") == F.col("__key"), "left").select(null("doc_id"), "n_shingles", "component_id")
+    return out.join(keys, F.col("component_id") == F.col("__key"), "left").select("doc_id", "n_shingles", null("component_id"))
+
+
+def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles and component_id (its smallest doc_id) of every row; doc_id is a long and never null."""
     counts, sizes = sketch(rows, width)
     light = boundary(counts, sizes, percent)
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
     kind = "doc_id long, n long, k1 long, k2 long, histogram array<int>, keys array<bigint>, places array<int>"
     sets = saved(rows.mapInArrow(partial(_describe, width=width, percent=percent, light=light, shared=shared), kind), "described")
     shape = ["n", "k1", "k2"]
@@ -267,9 +278,7 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     else:
         out = out.withColumn("component_id", F.col("rep"))
     empty = rows.join(sets.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty)
-    null = lambda c: F.when(F.col(c) != _NONE, F.col(c)).alias(c)
-    return out.select(null("doc_id"), "n_shingles", null("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty)
 
 
 def op2_jaccard(docs: DataFrame) -> DataFrame:
@@ -277,16 +286,15 @@ def op2_jaccard(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, that with the smallest doc_id, with its columns; repeated rows of it once."""
-    chosen = near_copies(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    chosen = saved(chosen, "kept")
-    kept = docs.join(small(chosen, BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("__rows")).where("__rows > 1").select(F.col("doc_id").alias("__again"))
-    repeated = small(saved(repeated, "repeated"), BROADCAST_ROWS)
-    same = F.col("doc_id").eqNullSafe(F.col("__again"))
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    some = kept.join(repeated, same, "left_semi").withColumn("__first", F.row_number().over(first)).where("__first = 1").drop("__first")
-    return kept.join(repeated, same, "left_anti").unionByName(some)
+    """One row of each component, that with the smallest doc_id (null last), with its columns; of rows of one doc_id without words, equal texts once."""
+    keyed = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = _components(keyed.select(F.col("__row").alias("doc_id"), "text"), width, percent).toDF("__row", "n", "component")
+    rows = found.join(keyed.select("__row", "doc_id", F.xxhash64("text").alias("h")), "__row")
+    repeats = (F.col("n") == 0) & F.col("doc_id").isNotNull()
+    of = [F.when(~repeats, F.col("component")).alias("component"), F.when(repeats, F.col("doc_id")).alias("id"), F.when(repeats, F.col("h")).alias("text")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "__row")).alias("m")
+    chosen = saved(rows.groupBy(*of).agg(first).select(F.col("m.__row").alias("__kept")), "kept")
+    return keyed.join(small(chosen, BROADCAST_ROWS), F.col("__row") == F.col("__kept"), "left_semi").drop("__row")
 
 
 ORACLE = r"""

@@ -130,6 +130,23 @@ def test_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+#: Rows whose ids do not tell them apart: unlike and alike texts, with words and without.
+UNNAMED = [(1, PASSAGE), (2, PASSAGE[::-1]), (None, PASSAGE + " y"), (None, PASSAGE[::-1] + " y"), (None, "quite another text"), (None, "one more text"), (None, ""), (None, ""), (5, "first of two texts"), (5, "second, unlike the first"), (5, "first of two texts"), (6, ""), (6, ""), (6, None)]
+
+
+def test_rows_without_own_id(spark):
+    docs = table(spark, [(i, t, "a") for i, t in UNNAMED]).repartition(3)
+    key = lambda rows: sorted((repr(r.doc_id), repr(r.text)) for r in rows)
+    want = [(1, PASSAGE), (2, PASSAGE[::-1]), (None, "quite another text"), (None, "one more text"), (None, ""), (None, ""), (5, "first of two texts"), (5, "second, unlike the first"), (6, ""), (6, None)]
+    assert key(jaccard.keep_one(docs).collect()) == sorted((repr(i), repr(t)) for i, t in want)
+    got = jaccard.near_copies(docs, 5, 80).toPandas()
+    nameless = got[got.doc_id.isna()]
+    assert sorted(nameless.component_id.fillna(-1)) == [-1, -1, -1, -1, 1, 2] and sorted(nameless.n_shingles)[:2] == [0, 0]
+    items = spark.createDataFrame([(1, "quite another text"), (2, "second, unlike the first")], "item_id long, text string")
+    clean = decontaminate.keep_uncontaminated(docs, items)
+    assert key(clean.collect()) == sorted((repr(i), repr(t)) for i, t in UNNAMED if t not in ("quite another text", "second, unlike the first"))
+
+
 def test_mix(documents):
     got = mixing.op3_mix(documents).toPandas()
     again = mixing.op3_mix(documents.repartition(7)).toPandas()
