@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from structmill.llm.shared import saved, small
+from structmill.llm.shared import keyed_rows, saved, small
 
 WIDTH = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -126,9 +126,9 @@ def op10_decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows without a hit, with their columns, each judged by its own text."""
-    keyed = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    bad = contamination(keyed, items, row=F.col("__row")).where(F.col("n_hit") > 0).select(F.col("row").alias("__bad"))
-    return keyed.join(small(bad, BROADCAST_ROWS), F.col("__row") == F.col("__bad"), "left_anti").drop("__row")
+    keyed, restored = keyed_rows(docs, "doc_id", "text")
+    bad = contamination(keyed, items, row=F.col("row")).where(F.col("n_hit") > 0).select(F.col("row").alias("bad"))
+    return restored(keyed.join(small(bad, BROADCAST_ROWS), F.col("row") == F.col("bad"), "left_anti"))
 
 
 ORACLE = r"""

@@ -9,11 +9,14 @@ Sizes are light up to where enumerating costs more than scanning lists.  Classes
 that share a key are candidates; exact set intersections decide.
 
 Rarity comes from a count sketch of fixed size over all documents; it orders
-shingles only, so results do not depend on it.  To never emit all pairs of a
-list, each round tests a list's members against one member of it (its centre)
-and drops lists whose members are connected; after ``ROUNDS`` such rounds the few
-pairs of a list that are still unconnected are tested one by one.  So classes
-are connected exactly as all links would connect them.
+shingles only, so results do not depend on it.  All pairs of a list are never
+emitted.  A round tests a list's members against one member of it (its centre,
+that with the fewest rarer shingles, which an original has among its copies)
+and drops lists whose members are connected.  After ``ROUNDS`` rounds the few
+members of a list that are not connected with its largest part ask all others,
+block by block in tasks of their own, where sizes, places and histograms decide
+before a pair is made.  So classes are connected exactly as all links would
+connect them.
 
 Defined cases: documents without words, null ones too, have 0 shingles and are
 their own component; a null doc_id counts as the largest id, and each row without
@@ -33,14 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from structmill.llm import words as W
-from structmill.llm.shared import saved, small
+from structmill.llm.shared import discard, keyed_rows, saved, small
 from structmill.operators.components import connected_components
 
 WIDTH, PERCENT = 3, 90
 SKETCH_BITS, SLICE = 21, 1 << 15
 LIGHT_AT_MOST = 64
+#: Subsets of one set at most, for its worker's memory; sizes with more are heavy.
+SUBSETS = 4096
 HISTOGRAM = 64
-ROUNDS = 2
+#: Rounds of tests against centres, and members of a list in one task after them.
+ROUNDS, BLOCK = 2, 512
+#: Rows of an Arrow batch: of texts, and of pairs of whole sets.
+TEXTS, PAIRS = 1000, 200
 BROADCAST_ROWS = 300_000
 _NONE = (1 << 63) - 1
 
@@ -110,7 +118,10 @@ def boundary(counts: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> i
     length = counts.sum() / max(1, np.count_nonzero(counts))
     best, total, x = 0, 0.0, 0
     for n in range(1, LIGHT_AT_MOST + 1):
-        total += max(int(sizes[n]), 1) * (sum(comb(n, n - overlap(*sorted((n, m)), percent)) for m in _partners(n, percent)) - (n - _least(n, percent) + 1) * (1 + length))
+        subsets = sum(comb(n, gone) for _, gone in _light_sizes(n, percent))
+        if subsets > SUBSETS:
+            break
+        total += max(int(sizes[n]), 1) * (subsets - _prefix(n, percent) * (1 + length))
         if total <= best:
             best, x = total, n
     return x
@@ -125,19 +136,33 @@ def _partners(n, percent):
     return range(_least(n, percent), 100 * n // percent + 1)
 
 
-def _light_keys(s: np.ndarray, percent: int) -> list[int]:
-    """Keys of all subsets that a set shares with a linked set of some size."""
-    n = len(s)
-    whole = int(s.sum(dtype=np.uint64))
-    out = []
-    for m in _partners(n, percent):
-        c = overlap(n, m, percent)
-        if c > min(n, m):
-            continue
-        tag = (min(n, m) << 20 | max(n, m)) * 0x9E3779B97F4A7C15
-        for gone in combinations(s.tolist(), n - c):
-            out.append((whole - sum(gone) + tag) & (2**64 - 1))
-    return out
+def _prefix(n, percent):
+    """Rarest shingles of a set of n of which a linked set shares one."""
+    return n - _least(n, percent) + 1
+
+
+def _light_sizes(n: int, percent: int) -> list[tuple[int, int]]:
+    """(size m of a partner, shingles of n that the shared subset leaves out)."""
+    return [(m, n - c) for m in _partners(n, percent) if (c := overlap(n, m, percent)) <= min(n, m)]
+
+
+def _light_keys(s: np.ndarray, n: np.ndarray, begin: np.ndarray, light: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all subsets that light sets share with linked sets of some size, and the set of each key."""
+    keys, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for size in range(1, light + 1):
+        every = np.flatnonzero(n == size)
+        for m, gone in _light_sizes(size, percent) if len(every) else ():
+            left_out = np.array(list(combinations(range(size), gone)), np.int64).reshape(comb(size, gone), gone)
+            tag = np.uint64((min(size, m) << 20 | max(size, m)) * 0x9E3779B97F4A7C15 % 2**64)
+            step = max(1, (1 << 20) // (len(left_out) * max(gone, 1)))
+            for lo in range(0, len(every), step):
+                some = every[lo : lo + step]
+                matrix = s[begin[some][:, None] + np.arange(size)]
+                with np.errstate(over="ignore"):
+                    sums = matrix.sum(1, dtype=np.uint64)[:, None] - matrix[:, left_out].sum(2, dtype=np.uint64) + tag
+                keys.append(W.mix(sums.ravel(), 536))
+                owner.append(np.repeat(some, len(left_out)))
+    return np.concatenate(keys), np.concatenate(owner)
 
 
 def _describe(batches, width, percent, light, shared):
@@ -156,21 +181,20 @@ def _describe(batches, width, percent, light, shared):
                 k1, k2 = np.add.reduceat(W.mix(s, 530), begin), np.add.reduceat(W.mix(s, 531), begin)
             at = np.repeat(np.arange(len(docs)), n)
             histogram = np.bincount(at * HISTOGRAM + (W.mix(s, 532) >> np.uint64(58)).astype(np.int64), minlength=len(docs) * HISTOGRAM)
-            histogram = np.minimum(histogram, 65535).astype(np.uint16).reshape(-1, HISTOGRAM)
             # prefixes of the sets that a heavy set can be linked with
             rarity = np.minimum(counts[_bucket(s)], 65535).astype(np.uint64) << np.uint64(48) | W.mix(s, 533) >> np.uint64(16)
             order = np.lexsort((rarity, at))
-            length = np.where(100 * n >= percent * (light + 1), n - -(-percent * n // 100) + 1, 0)
-            prefix = order[np.arange(len(s)) - begin[at] < length[at]]
-            keys = W.mix(s[prefix], 534).view(np.int64)
-            cuts = np.cumsum(length)
-            lists = np.split(keys, cuts[:-1])
-            places = np.split((np.arange(len(s)) - begin[at])[np.arange(len(s)) - begin[at] < length[at]].astype(np.int32), cuts[:-1])
-            for i in np.flatnonzero(n <= light):
-                mine = np.array(_light_keys(W.mix(s[begin[i] : begin[i] + n[i]], 535), percent), np.uint64)
-                lists[i] = np.append(lists[i], W.mix(mine, 536).view(np.int64))
-                places[i] = np.append(places[i], np.zeros(len(mine), np.int32))
-            columns = [pa.array(ids[lo + docs]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.FixedSizeListArray.from_arrays(pa.array(histogram.astype(np.int32).ravel()), HISTOGRAM).cast(pa.list_(pa.int32())), pa.array(lists, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))]
+            length = np.where(100 * n >= percent * (light + 1), _prefix(n, percent), 0)
+            place = np.arange(len(s)) - begin[at]
+            mine = place < length[at]
+            subsets, of = _light_keys(W.mix(s, 535), n, begin, light, percent)
+            keys, place = np.append(W.mix(s[order[mine]], 534), subsets), np.append(place[mine], np.zeros(len(of), np.int64))
+            of = np.append(at[mine], of)
+            order = np.argsort(of, kind="stable")
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(docs)))).astype(np.int32))
+            lists = lambda x: pa.ListArray.from_arrays(ends, pa.array(x[order]))  # noqa: B023, E731
+            histogram = pa.ListArray.from_arrays(pa.array(np.arange(0, len(histogram) + 1, HISTOGRAM, np.int32)), pa.array(histogram.astype(np.int32)))
+            columns = [pa.array(ids[lo + docs]), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), histogram, lists(keys.view(np.int64)), lists(place.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "k1", "k2", "histogram", "keys", "places"])
 
 
@@ -205,16 +229,20 @@ def _linked(batches, percent):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The linked pairs a, b among the candidate pairs."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """The linked pairs a, b among the candidate pairs; None for none."""
     side = lambda k: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("histogram").alias(f"h{k}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb")
     near = saved(near.mapInArrow(partial(_near_histograms, percent=percent), "a long, b long"), "near")
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = docs.join(small(saved(ids, "ids"), BROADCAST_ROWS), "doc_id", "left_semi")
-    sets = saved(sets.mapInArrow(partial(_whole_sets, width=width), "doc_id long, set binary"), "sets")
+    if near.isEmpty():
+        return None
+    ids = saved(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "ids")
+    sets = docs.join(small(ids, BROADCAST_ROWS), "doc_id", "left_semi")
+    sets = saved(sets.mapInArrow(partial(_whole_sets, width=width), "doc_id long, set binary"), "sets", TEXTS)
     both = near.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
-    return saved(both.select("a", "b", "sa", "sb").mapInArrow(partial(_linked, percent=percent), "a long, b long"), "links")
+    links = saved(both.select("a", "b", "sa", "sb").mapInArrow(partial(_linked, percent=percent), "a long, b long"), "links", PAIRS)
+    discard(near, ids, sets)
+    return None if links.isEmpty() else links
 
 
 def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -229,72 +257,116 @@ def near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     return out.join(keys, F.col("component_id") == F.col("__key"), "left").select("doc_id", "n_shingles", null("component_id"))
 
 
+def _mixed(lists: DataFrame) -> DataFrame:
+    """The lists whose members are not all connected, with the number of members and, of those in the largest connected part (main), whether they are."""
+    parts = lists.groupBy("key", "c").agg(F.count("*").alias("many"))
+    found = parts.groupBy("key").agg(F.sum("many").alias("members"), F.max(F.struct("many", "c")).alias("top"), F.count("*").alias("parts")).where(F.col("parts") > 1)
+    found = found.select("key", "members", (F.col("members") - F.col("top.many")).alias("asking"), F.col("top.c").alias("main_c"))
+    return lists.join(found, "key").withColumn("main", F.col("c") == F.col("main_c")).drop("main_c")
+
+
+def _other(lists: DataFrame, *more: str) -> DataFrame:
+    return lists.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "place", "c", *more)])
+
+
+def _candidates(both: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of members of one list that may be linked and are not connected."""
+    # if this is the first shared shingle in order of rarity, none before its place is shared
+    room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+    fits = (F.greatest("n", "n2") * percent <= F.least("n", "n2") * 100) & room & (F.col("c") != F.col("c2"))
+    return both.where(fits).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+
+
+def _with_centres(lists: DataFrame) -> DataFrame:
+    """Each member beside its list's centre, which stands outside the largest connected part where there is one."""
+    first = [F.col("main2")] * ("main" in lists.columns) + [F.col("place2"), F.xxhash64("rep2").alias("h"), F.col("rep2"), F.col("n2"), F.col("c2")]
+    other = _other(lists, *["main"] * ("main" in lists.columns))
+    centre = other.groupBy("key").agg(F.min(F.struct(*first)).alias("m")).select("key", "m.rep2", "m.n2", "m.place2", "m.c2")
+    return lists.join(centre, "key")
+
+
+def _asked(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Members outside their list's largest part beside all other members, by pairs of blocks; the histograms' bound on the difference goes into the join."""
+    rows = lists.join(small(classes.join(lists.select("rep").distinct(), "rep", "left_semi").select("rep", "histogram"), BROADCAST_ROWS // 10), "rep")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("rep"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    asks = rows.where(~F.col("main")).withColumn("i", own("asking")).withColumn("j", every("members"))
+    waits = rows.withColumn("j", own("members")).withColumn("i", every("asking"))
+    waits = _other(waits, "histogram", "i", "j").withColumnsRenamed({"i2": "i", "j2": "j"})
+    difference = F.aggregate(F.zip_with("histogram", "histogram2", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
+    apart = (F.col("n") + F.col("n2") - difference) * (100 + percent) >= 2 * percent * (F.col("n") + F.col("n2"))
+    return asks.join(waits, ["key", "i", "j"]).where(apart)
+
+
 def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id (its smallest doc_id) of every row; doc_id is a long and never null."""
     counts, sizes = sketch(rows, width)
     light = boundary(counts, sizes, percent)
     shared = rows.sparkSession.sparkContext.broadcast(counts)
     kind = "doc_id long, n long, k1 long, k2 long, histogram array<int>, keys array<bigint>, places array<int>"
-    sets = saved(rows.mapInArrow(partial(_describe, width=width, percent=percent, light=light, shared=shared), kind), "described")
+    sets = saved(rows.mapInArrow(partial(_describe, width=width, percent=percent, light=light, shared=shared), kind), "described", TEXTS)
     shape = ["n", "k1", "k2"]
     reps = saved(sets.groupBy(*shape).agg(F.min("doc_id").alias("rep")), "reps")
     classes = sets.join(reps.withColumnRenamed("rep", "doc_id"), [*shape, "doc_id"]).dropDuplicates([*shape, "doc_id"])
     classes = saved(classes.select(F.col("doc_id").alias("rep"), "n", "histogram", "keys", "places"), "classes")
+    members = saved(sets.select("doc_id", *shape), "members")
+    discard(sets)
 
     listed = classes.select(F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place"))), "rep", "n")
     several = listed.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > 1).select("key")
     lists = saved(listed.join(several, "key", "left_semi").withColumn("c", F.col("rep")), "lists")
     save = partial(saved, name="components")
     links = found = None
-    for turn in range(ROUNDS + 1):
-        if turn:
-            marks = found.withColumnsRenamed({"node": "rep", "component": "to"})
-            lists = lists.join(small(marks, BROADCAST_ROWS), "rep", "left").withColumn("c", F.coalesce("to", "rep")).drop("to")
-            mixed = lists.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where(F.col("x") != F.col("y")).select("key")
-            lists = saved(lists.join(mixed, "key", "left_semi"), "lists")
-            if lists.isEmpty():
-                break
-        other = lists.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("c").alias("c2"))
-        if turn < ROUNDS:
-            centre = F.min(F.struct(F.xxhash64(F.lit(turn), "rep2").alias("h"), "rep2", "n2", "place2", "c2")).alias("m")
-            other = other.groupBy("key").agg(centre).select("key", "m.rep2", "m.n2", "m.place2", "m.c2")
-            apart = F.lit(True)
-        else:  # few lists are left; the histograms' bound on the difference goes into the join
-            lists = lists.join(small(classes.select("rep", "histogram").join(lists.select("rep").distinct(), "rep", "left_semi"), BROADCAST_ROWS // 10), "rep")
-            other = other.join(lists.select("key", F.col("rep").alias("rep2"), F.col("histogram").alias("histogram2")), ["key", "rep2"])
-            difference = F.aggregate(F.zip_with("histogram", "histogram2", lambda x, y: F.abs(x - y)), F.lit(0), lambda a, x: a + x)
-            apart = (F.col("rep") < F.col("rep2")) & ((F.col("n") + F.col("n2") - difference) * (100 + percent) >= 2 * percent * (F.col("n") + F.col("n2")))
-        # if this is the first shared shingle in order of rarity, none before its place is shared
-        least = (F.col("n") + F.col("n2")) * percent
-        room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) * (100 + percent) >= least
-        fits = (F.greatest("n", "n2") * percent <= F.least("n", "n2") * 100) & room & (F.col("c") != F.col("c2")) & apart
-        pairs = lists.join(other, "key").where(fits).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+
+    def connect(pairs):
+        nonlocal links, found
         new = _verified(pairs, classes, rows, width, percent)
-        links = new if links is None else saved(links.union(new), "links")
-        found = saved(connected_components(links.toDF("u", "v"), save), "found")
-    out = sets.select("doc_id", *shape).join(reps, shape)
+        if new is None:
+            return
+        old, links = links, new if links is None else saved(links.union(new), "links")
+        marks = saved(connected_components(links.toDF("u", "v"), save), "found")
+        discard(found, *((old, new) if old is not None else ()))
+        found = marks
+
+    for _ in range(ROUNDS):
+        connect(_candidates(_with_centres(lists), percent))
+        plain = lists.select("key", "place", "rep", "n")
+        if found is not None:
+            marks = small(found.withColumnsRenamed({"node": "rep", "component": "to"}), BROADCAST_ROWS)
+            plain = plain.join(marks, "rep", "left").withColumn("c", F.coalesce("to", "rep")).drop("to")
+        else:
+            plain = plain.withColumn("c", F.col("rep"))
+        old, lists = lists, saved(_mixed(plain), "lists")
+        discard(old)
+        if lists.isEmpty():
+            break
+    else:
+        connect(_candidates(_asked(lists, classes, percent), percent))
+    out = members.join(reps, shape)
     if found is not None:
         out = out.join(small(found.withColumnsRenamed({"node": "rep"}), BROADCAST_ROWS), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
     else:
         out = out.withColumn("component_id", F.col("rep"))
-    empty = rows.join(sets.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    empty = rows.join(members.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty)
 
 
 def op2_jaccard(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document; rows without words or text have 0 shingles and their own id, null for a null doc_id."""
     return near_copies(docs)
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, that with the smallest doc_id (null last), with its columns; of rows of one doc_id without words, equal texts once."""
-    keyed = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = _components(keyed.select(F.col("__row").alias("doc_id"), "text"), width, percent).toDF("__row", "n", "component")
-    rows = found.join(keyed.select("__row", "doc_id", F.xxhash64("text").alias("h")), "__row")
+    keyed, restored = keyed_rows(docs, "doc_id", "text")
+    found = _components(keyed.select(F.col("row").alias("doc_id"), "text"), width, percent).toDF("row", "n", "component")
+    rows = found.join(keyed.select("row", "doc_id", F.xxhash64("text").alias("h")), "row")
     repeats = (F.col("n") == 0) & F.col("doc_id").isNotNull()
     of = [F.when(~repeats, F.col("component")).alias("component"), F.when(repeats, F.col("doc_id")).alias("id"), F.when(repeats, F.col("h")).alias("text")]
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "__row")).alias("m")
-    chosen = saved(rows.groupBy(*of).agg(first).select(F.col("m.__row").alias("__kept")), "kept")
-    return keyed.join(small(chosen, BROADCAST_ROWS), F.col("__row") == F.col("__kept"), "left_semi").drop("__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h", "row")).alias("m")
+    chosen = saved(rows.groupBy(*of).agg(first).select(F.col("m.row").alias("kept")), "kept")
+    return restored(keyed.join(small(chosen, BROADCAST_ROWS), F.col("row") == F.col("kept"), "left_semi"))
 
 
 ORACLE = r"""

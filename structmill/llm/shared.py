@@ -1,39 +1,21 @@
-"""Tables cut off from their lineage, in the folder that the whole cluster shares."""
+"""Saved tables, and rows with a key of their own whatever their columns are called."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from structmill.shared import discard, folder, saved, small
 
-def folder(spark: SparkSession) -> str:
-    """Spark's checkpoint folder; where the session names none, a temporary one (as in tests on one machine)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="structmill-"))
-    return sc.getCheckpointDir()
+__all__ = ["discard", "folder", "keyed_rows", "saved", "small"]
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again; the files go when the driver ends."""
-    spark = df.sparkSession
-    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is not None and spark.sparkContext._jsc is not None:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, counted; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def keyed_rows(docs: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Saved rows with a key ``row``, the columns ``named`` under their names, and all columns as c0, c1, ...; and what turns such rows back into those of ``docs``."""
+    names = docs.columns
+    places = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own = [F.col(f"c{names.index(n)}").alias(n) for n in named]
+    stored = saved(places.withColumn("row", F.monotonically_increasing_id()), "rows")
+    return stored.select("row", *own, *places.columns), lambda df: df.select(*places.columns).toDF(*names)

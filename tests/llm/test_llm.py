@@ -21,7 +21,7 @@ from structmill.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Columns whose names the operators use themselves.
-CLASHES = ["rep", "n", "key", "component", "row", "term", "leaf", "score", "predicted", "block", "rank", "size", "held_out", "cells", "f_id", "draws", "kept_id"]
+CLASHES = ["__kept", "__again", "__first", "__row", "__key", "c0", "c1", "kept", "bad", "rep", "n", "key", "component", "row", "term", "leaf", "score", "predicted", "block", "rank", "size", "held_out", "cells", "f_id", "draws", "kept_id"]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
 
 
@@ -106,11 +106,12 @@ def near_components(rows, width, percent):
         w = re.findall(WORD, (text or "").lower())
         sets[i] = {tuple(w[k : k + width]) for k in range(max(len(w) - width, 0) + 1)} if w else set()
     root = {i: i for i in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
-                    root[a] = root[b] = min(root[a], root[b])
+    linked = [(a, b) for a in sets for b in sets if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    before = None
+    while before != root:
+        before = dict(root)
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
     return root
 
 
@@ -130,6 +131,23 @@ def test_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+def test_long_lists(spark, monkeypatch):
+    """Lists of many unlinked members, joined block by block."""
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    asked, ask = [], jaccard._asked
+    monkeypatch.setattr(jaccard, "_asked", lambda lists, *more: asked.append(lists.agg(F.max("members"), F.max("asking")).first()) or ask(lists, *more))
+    rng = np.random.default_rng(6)
+    lines = [" ".join(f"p{k}w{i}" for i in range(9)) for k in range(7)]
+    rows = []
+    for k in range(150):
+        some = [lines[i] for i in rng.permutation(7)[: rng.integers(3, 6)]]
+        rows.append((k, " ".join(some + [f"own{rng.integers(0, 40)}"] * int(rng.integers(0, 3)))))
+    root = near_components(rows, 3, 70)
+    got = jaccard.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), 3, 70).toPandas()
+    assert dict(zip(got.doc_id, got.component_id)) == root and 10 < len(set(root.values())) < 150
+    assert min(asked[0]) > 5
+
+
 #: Rows whose ids do not tell them apart: unlike and alike texts, with words and without.
 UNNAMED = [(1, PASSAGE), (2, PASSAGE[::-1]), (None, PASSAGE + " y"), (None, PASSAGE[::-1] + " y"), (None, "quite another text"), (None, "one more text"), (None, ""), (None, ""), (5, "first of two texts"), (5, "second, unlike the first"), (5, "first of two texts"), (6, ""), (6, ""), (6, None)]
 
@@ -158,6 +176,42 @@ def test_mix(documents):
     assert ((of.taken - of.target).abs() <= of.longest).all()
 
 
+def test_mix_deals_whole_quotas(documents):
+    """Shards and sources against what the draws of all documents add up to; many blocks and shards."""
+    mixed = mixing.mix(documents, block_words=300, shard_words=4000, keep=("doc_id", "source")).toPandas()
+    drawn = mixed.explode("draws").dropna(subset="draws")
+    drawn["shard"] = [d["shard"] for d in drawn.draws]
+    drawn["pass"] = [d["pass"] for d in drawn.draws]
+    shards = drawn.groupby("shard")["size"].sum()
+    assert len(shards) > 8 and shards.max() < 2 * shards.mean()
+    assert not drawn.duplicated(["doc_id", "pass"]).any()
+    of = mixed.assign(taken=mixed["size"] * mixed.draws.str.len()).groupby("source", dropna=False).agg(target=("target", "first"), taken=("taken", "sum"), longest=("size", "max"))
+    assert ((of.taken - of.target).abs() <= of.longest).all()
+    order = mixing.shuffled(mixing.mix(documents)).select("shard", "place", F.spark_partition_id().alias("part")).toPandas()
+    assert (order.groupby("shard").part.nunique() == 1).all() and order.groupby("shard").place.apply(lambda x: x.is_monotonic_increasing).all()
+
+
+def test_hypergeometric(spark):
+    """Against the exact distribution, for small and large numbers."""
+    from math import comb
+
+    for N, K, L in ((10, 4, 5), (40, 13, 20), (7, 7, 3)):
+        got = spark.range(20_000).select(mixing.hypergeometric(mixing._uniform(F.lit(9), "id"), F.lit(N), F.lit(K), F.lit(L)).alias("k")).groupBy("k").count().toPandas().set_index("k")["count"] / 20_000
+        want = {k: comb(K, k) * comb(N - K, L - k) / comb(N, L) for k in range(max(0, K + L - N), min(K, L) + 1)}
+        assert all(abs(got.get(k, 0) - p) < 0.015 for k, p in want.items()) and set(got.index) <= set(want)
+    large = spark.range(300).select(mixing.hypergeometric(mixing._uniform(F.lit(9), "id"), F.lit(10**8), F.lit(10**6), F.lit(5 * 10**7)).alias("k")).toPandas().k
+    assert abs(large.mean() - 5e5) < 100 and 400 < large.std() < 600
+
+
+def test_split_tree_of_many_blocks(spark):
+    """A source of a million blocks is one number; all quotas add up."""
+    root = spark.createDataFrame([([(0, 10**6), (1, 3), (2, 0), (3, 70_000)],)], "quotas array<struct<rank:int,n:long>>")
+    got = mixing.split_tree(root, 4, 1).toPandas()
+    counts = np.array([[q["n"] for q in row] for row in got.quotas])
+    assert sorted(got.shard) == list(range(16)) and counts.sum(0).tolist() == [10**6, 3, 0, 70_000] and (counts >= 0).all()
+    assert np.ptp(counts.sum(1)) <= 4
+
+
 def test_mix_stops_at_most(spark):
     rows = [(i, "w " * 10, "a") for i in range(4)] + [(10 + i, "w " * 10, "b") for i in range(100)]
     got = mixing.op3_mix(table(spark, rows)).toPandas()
@@ -192,11 +246,78 @@ def test_pii(spark, documents):
         assert set(listed) <= set(got.spans[i].split(","))
 
 
+def added(text):
+    return [(pii.KINDS[k], text[a:b]) for _, _, _, spans in pii.find(pa.array([text]), pii.train()) for k, a, b in spans]
+
+
 def test_crf_adds_what_patterns_miss():
-    base, added = pii.find(["please dial 1-800-555-0199 today", "token = 5f4dcc3b5aa765d61d8327deb882cf99aa end", "in 1998 they sold 2,340 units"], pii.train())[0]
-    assert not base and [k for k, _, _ in added] == [3]
-    assert pii.find(["token = 5f4dcc3b5aa765d61d8327deb882cf99aa end"], pii.train())[0][1]
-    assert not pii.find(["in 1998 they sold 2,340 units"], pii.train())[0][1]
+    assert added("please dial 1-800-555-0199 today") == [("phone", "1-800-555-0199")]
+    assert added("token = 5f4dcc3b5aa765d61d8327deb882cf99aa end") == [("secret", "5f4dcc3b5aa765d61d8327deb882cf99aa")]
+    assert added("please ring 555 0199 tonight") == [("phone", "555 0199")] and added("SSN 078-05-1120") == [("id", "078-05-1120")]
+    assert added("but the password: correcthorsebattery and then") == [("secret", "correcthorsebattery")]
+    assert added("password: correcthorsebattery") == [("secret", "correcthorsebattery")]
+    assert added("he lives at 221 Baker Street in london") == [("address", "221 Baker Street")]
+    assert added("write to anna at example dot org today") == [("email", "anna at example dot org")]
+    assert not added("in 1998 they sold 2,340 units") and not added("It was. The door, And so on. De De De De De De De De De De De De De De De")
+
+
+def test_crf_finds_held_out_lines():
+    """Recall and precision on lines whose slots training has not seen."""
+    rng = np.random.default_rng(1234)
+    lines = [pii.filled(line, rng) for line in pii.LABELLED for _ in range(3)]
+    got = {i: [*base, *more] for i, _, base, more in pii.find(pa.array([t for t, _ in lines]), pii.train())}
+    meet = lambda s, many: any(a < s[2] and s[1] < b for _, a, b in many)
+    want = [(i, s) for i, (_, spans) in enumerate(lines) for s in spans]
+    found = [(i, s) for i, spans in got.items() for s in spans]
+    assert sum(meet(s, got.get(i, [])) for i, s in want) >= 0.93 * len(want)
+    assert sum(meet(s, lines[i][1]) for i, s in found) >= 0.93 * len(found)
+
+
+def test_crf_against_all_paths():
+    """Viterbi and the likelihood against the enumeration of paths."""
+    from itertools import product
+
+    rng = np.random.default_rng(8)
+    k = len(pii.LABELS)
+    move = np.where(pii._ALLOWED, rng.normal(0, 1, (k, k)), -1e4)
+    sizes = np.array([3, 1, 2])
+    e = rng.normal(0, 2, (3, 3, k))
+    z, chance, pairs = pii.likelihood(e, move, sizes)
+    best = pii.viterbi(e.astype(np.float32), move.astype(np.float32), sizes)
+    total = np.zeros((k, k))
+    for b, n in enumerate(sizes):
+        paths = np.array(list(product(range(k), repeat=n)))
+        ways = np.append(np.zeros((len(paths), 1), int), np.append(paths, np.zeros((len(paths), 1), int), 1), 1)
+        score = e[b, np.arange(n), paths].sum(1) + move[ways[:, :-1], ways[:, 1:]].sum(1)
+        share = np.exp(score - np.logaddexp.reduce(score))
+        assert z[b] == pytest.approx(np.logaddexp.reduce(score))
+        assert best[b, :n].tolist() == paths[score.argmax()].tolist() and not best[b, n:].any()
+        for t in range(n):
+            assert np.bincount(paths[:, t], share, k) == pytest.approx(chance[b, t], abs=1e-9)
+        np.add.at(total, (ways[:, :-1].ravel(), ways[:, 1:].ravel()), np.repeat(share, n + 1))
+    assert total == pytest.approx(pairs, abs=1e-9)
+
+
+def test_words_alike_have_the_same_features():
+    words = ["hello", "world", "World,", "Horse,", "ABC", "DEF", "a", "b", "übers", "hallö", "x1", "token", "Token:", "wor,d", "stop..", "drop..", "no.?"]
+    data, offsets = pii.W.buffers(pa.array(words))
+    keys = pii.alike(pii.W.hashes(data, offsets[:-1], offsets[1:], False), data, offsets[:-1], offsets[1:])
+    for i, x in enumerate(words):
+        for j, y in enumerate(words):
+            if keys[i] == keys[j]:
+                assert pii.features(x) == pii.features(y), (x, y)
+    assert keys[0] == keys[1] and keys[2] == keys[3] and keys[8] == keys[9]
+    assert len({keys[i] for i in (10, 11, 12, 13)}) == 4
+
+
+def test_long_text_of_digits():
+    """A long text of numbers, in which spans are found wherever they stand, also where chains meet."""
+    parts = [str(i * 7919 % 100_003) for i in range(60_000)]
+    for at in (10, 63, 64, 65, 127, 40_000):
+        parts[at] = "token = 5f4dcc3b5aa765d61d8327deb882cf99aa end"
+    text = " ".join(parts)
+    spans = [s for s in added(text) if s[0] == "secret"]
+    assert len(text) > 300_000 and spans == [("secret", "5f4dcc3b5aa765d61d8327deb882cf99aa")] * 6
 
 
 def test_subwords_catch_misspellings():
