@@ -17,28 +17,33 @@ def _table(spark, sf_dir, name):
 
 
 def drop_toxic(spark, docs, sf_dir):
+    """Rows predicted toxic go; null and empty texts get the prior, repeated rows are judged alike."""
     return toxicity.keep_clean(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """Five-word shingles and a similarity of 0.8 or more."""
+    """Five-word shingles and a similarity of 0.8 or more; rows without words all stay, but for repeats of one doc_id and text."""
     return jaccard.keep_one(docs)
 
 
 def drop_contaminated(spark, docs, sf_dir):
+    """Rows with a word inside a benchmark window go; null texts have no words."""
     return decontaminate.keep_uncontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark, docs, sf_dir):
+    """All rows stay; spans in texts become their kind in brackets, null texts stay null."""
     return pii.redact(docs)
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The columns of documents (but for those of the names that follow), then size, source_size, target, taken and the shard of each take; documents not taken go."""
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards", "draws")]
-    mixed = mixing.mix(docs, keep=tuple(own)).where(F.size("draws") > 0)
-    taken = (F.col("size") * F.size("draws")).cast("long").alias("taken")
-    return mixed.select(*own, "size", "source_size", "target", taken, F.transform("draws", lambda d: d["shard"]).alias("shards"))
+    """The columns of documents, then size, source_size, target, taken and draws (pass, shard, place); documents not taken go.
+
+    A column of documents that has one of these names is called doc_<name>.
+    """
+    own = {c: f"doc_{c}" if c in ("size", "source_size", "target", "taken", "draws") else c for c in docs.columns}
+    mixed = mixing.mix(docs.withColumnsRenamed(own), keep=tuple(own.values())).where(F.size("draws") > 0)
+    return mixed.select(*own.values(), "size", "source_size", "target", (F.col("size") * F.size("draws")).cast("long").alias("taken"), "draws")
 
 
 STAGES = [
