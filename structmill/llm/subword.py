@@ -8,6 +8,7 @@ a mean of table look-ups; so unseen misspellings score through shared n-grams.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,26 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from structmill.llm import words as W
+from structmill.llm.shared import short_batches
 
 
 @dataclass(frozen=True)
 class Params:
-    """``passage``: words of a passage (0: the whole text is one).
-    ``min_texts``: sampled texts that must hold a bucket, else it weighs nothing.  ``rows`` bounds the labelled sample, ``text_mb`` the text of it that is held at once (whole texts; later rows go)."""
+    """``rows`` bounds the labelled sample; a small one is gone through more often than ``epochs``, for ``steps`` steps.
+    ``min_texts``: sampled texts that must hold a bucket, else it weighs nothing; of fewer than 20 times as many texts, a twentieth."""
 
     rows: int = 4000
-    text_mb: int = 48
     bits: int = 18
     dim: int = 8
     grams: tuple[int, ...] = (3, 4, 5)
     fold: bool = True
     epochs: int = 20
+    steps: int = 40_000
     rate: float = 1.5
     out_rate: float = 0.01
     gain: float = 50.0
     most_step: float = 40.0
     min_texts: int = 5
-    passage: int = 0
     seed: int = 7
 
 
@@ -69,101 +70,84 @@ def features(data: np.ndarray, offsets: np.ndarray, p: Params) -> tuple[np.ndarr
     return np.concatenate(out), np.concatenate(owner), doc
 
 
-def passages(doc: np.ndarray, n: int, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Passage of each word, and the first passage of each document (n + 1): near-equal runs of about ``p.passage`` words."""
-    words = np.bincount(doc, minlength=n)
-    many = np.maximum(1, np.rint(words / p.passage).astype(np.int64)) if p.passage else np.ones(n, np.int64)
-    first = np.append(0, np.cumsum(many))
-    local = np.arange(len(doc)) - np.append(0, np.cumsum(words))[doc]
-    return first[doc] + local * many[doc] // np.maximum(words, 1)[doc], first
-
-
-def train(texts: list[str], labels: np.ndarray, p: Params) -> np.ndarray:
-    """One float per bucket, then bias: the log-odds of label 1 is bias + the mean of a passage's entries."""
+def train(texts: Iterable[str], labels: np.ndarray, p: Params) -> np.ndarray:
+    """One float per bucket, then bias: the log-odds of label 1 is bias + the mean of a text's entries."""
     rng = np.random.default_rng(p.seed)
-    n = len(texts)
+    n = len(labels)
     if n == 0 or labels.min() == labels.max():
         rate = (labels.sum() + 1) / (n + 2) if n else 0.5
         return np.append(np.zeros(1 << p.bits), np.log(rate / (1 - rate))).astype(np.float32)
-
-    def parts(text):
-        """Passage and bucket of the text's features as one key, distinct and sorted, their counts, and the passages."""
-        data, offsets = W.buffers(pa.array([text], pa.string()))
-        ids, word, doc = features(data, offsets, p)
-        passage, first = passages(doc, 1, p)
-        return *np.unique(passage[word] << p.bits | ids, return_counts=True), int(first[-1])
-
-    # twice, so that rare buckets are never held
-    low = (1 << p.bits) - 1
+    least = min(p.min_texts, max(1, n // 20))
     seen = np.zeros(1 << p.bits, np.int32)
+    docs = []
     for text in texts:
-        seen[np.unique(parts(text)[0] & low)] += 1
-    held, shares, cuts, begin = [], [], [0], [0]  # passages of all texts end to end; begin: of each text, its first passage
-    for text in texts:
-        key, counts, many = parts(text)
-        total = np.bincount(key >> p.bits, counts, many)
-        known = seen[key & low] >= p.min_texts
-        key, counts = key[known], counts[known]
-        held.append((key & low).astype(np.int32))
-        shares.append((counts / total[key >> p.bits]).astype(np.float32))
-        cuts += (cuts[-1] + np.searchsorted(key, np.arange(1, many + 1) << p.bits)).tolist()
-        begin.append(begin[-1] + many)
-    held, shares = np.concatenate(held), np.concatenate(shares)
-    docs = [[(held[a:b], shares[a:b]) for a, b in zip(cuts[i:j], cuts[i + 1 : j + 1])] for i, j in zip(begin, begin[1:])]
+        ids, counts = _buckets(text, p)
+        seen[ids] += 1
+        docs.append((ids.astype(np.int32), (counts / max(counts.sum(), 1)).astype(np.float32)))
+    for i, (ids, share) in enumerate(docs):
+        known = seen[ids] >= least
+        docs[i] = ids[known], share[known]
     vectors = rng.normal(0, 1e-3, (1 << p.bits, p.dim)).astype(np.float32)
     out = rng.normal(0, 1 / np.sqrt(p.dim), p.dim).astype(np.float32)
     out = np.stack([-out, out])
     bias = np.log([(labels == 0).mean(), (labels == 1).mean()]).astype(np.float32)
     one = np.eye(2, dtype=np.float32)
-    for epoch in range(p.epochs):
-        rate = np.float32(p.rate * (1 - epoch / p.epochs))
+    epochs = max(p.epochs, p.steps // n)
+    for epoch in range(epochs):
+        rate = np.float32(p.rate * (1 - epoch / epochs))
         for i in rng.permutation(n):
-            # a text is what its likeliest passage is; the first epoch takes any passage
-            means = [(share @ vectors[ids]) * np.float32(p.gain) for ids, share in docs[i]]
-            odds = [float((out[1] - out[0]) @ m) for m in means]
-            at = int(np.argmax(odds)) if epoch else int(rng.integers(len(means)))
-            (ids, share), mean = docs[i][at], means[at]
+            ids, share = docs[i]
+            mean = (share @ vectors[ids]) * np.float32(p.gain)
             z = out @ mean + bias
             z = np.exp(z - z.max())
             back = z / z.sum() - one[labels[i]]
-            # the ids of one passage are distinct, so one indexed assignment updates them all
+            # the ids of one text are distinct, so one indexed assignment updates them all
             # a step moves the text's own log-odds by ``most_step`` at most, which short texts would pass and diverge
             turn = rate * np.float32(p.gain**2) * (share @ share) * ((out[1] - out[0]) @ (out[1] - out[0]))
             step = rate * np.float32(p.gain) * min(np.float32(1), np.float32(p.most_step) / max(turn, np.float32(1e-9)))
             vectors[ids] -= np.outer(share * step, back @ out)
             out -= np.float32(p.out_rate) * rate * np.outer(back, mean)
             bias -= np.float32(p.out_rate) * rate * back
-    fold = np.where(seen >= p.min_texts, vectors @ (out[1] - out[0]) * p.gain, 0)
+    fold = np.where(seen >= least, vectors @ (out[1] - out[0]) * p.gain, 0)
     return np.append(fold, bias[1] - bias[0]).astype(np.float32)
 
 
+def _buckets(text: str, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text's features, and their counts; a long text is looked at in pieces, cut at blanks."""
+    data, offsets = W.buffers(pa.array([text], pa.large_string()))
+    counts: np.ndarray | None = None
+    a, stop = 0, int(offsets[-1])
+    while True:
+        b = _at_blank(data, a + W.CHUNK // 2, stop)
+        ids, _, _ = features(data[a:b], np.array([0, b - a]), p)
+        if a == 0 and b >= stop:
+            return np.unique(ids, return_counts=True)
+        more = np.bincount(ids, minlength=1 << p.bits)
+        counts = more if counts is None else counts + more
+        a = b
+        if a >= stop:
+            ids = np.flatnonzero(counts)
+            return ids, counts[ids]
+
+
 def log_odds(column: pa.Array, model: np.ndarray, p: Params) -> np.ndarray:
-    """Of each whole text, that of its likeliest passage; a text without words gets the bias."""
+    """Of each whole text; a text without words gets the bias."""
     data, offsets = W.buffers(column)
     n = len(offsets) - 1
-    best, total, many = np.full(n, -np.inf), np.zeros(n), np.zeros(n, np.int64)
+    total, many = np.zeros(n), np.zeros(n, np.int64)
     weight, room = model[:-1], W.CHUNK // 2
     for lo, hi in W.slices(offsets, room):
         a, stop = int(offsets[lo]), int(offsets[hi])
-        while True:  # a longer document goes in pieces, cut at blanks; with passages, those of its pieces count like its own
+        while True:  # a longer document goes in pieces, cut at blanks
             b = _at_blank(data, a + room, stop)
             ids, word, doc = features(data[a:b], np.clip(offsets[lo : hi + 1], a, b) - a, p)
-            if p.passage:
-                passage, first = passages(doc, hi - lo, p)
-                sums = np.bincount(passage[word], weight[ids], first[-1])
-                mean = sums / np.maximum(np.bincount(passage[word], minlength=first[-1]), 1)
-                found = np.maximum.reduceat(mean, first[:-1])
-                best[lo:hi] = np.where(np.bincount(doc, minlength=hi - lo) > 0, np.maximum(best[lo:hi], found), best[lo:hi])
-            else:
-                owner = doc[word]
-                total[lo:hi] += np.bincount(owner, weight[ids], hi - lo)
-                many[lo:hi] += np.bincount(owner, minlength=hi - lo)
+            owner = doc[word]
+            total[lo:hi] += np.bincount(owner, weight[ids], hi - lo)
+            many[lo:hi] += np.bincount(owner, minlength=hi - lo)
             a = b
             if a >= stop:
                 break
-    if not p.passage:
-        return total / np.maximum(many, 1) + model[-1]
-    return np.where(np.isfinite(best), best, 0.0) + model[-1]
+    return total / np.maximum(many, 1) + model[-1]
 
 
 def _at_blank(data: np.ndarray, at: int, stop: int) -> int:
@@ -173,8 +157,8 @@ def _at_blank(data: np.ndarray, at: int, stop: int) -> int:
     return min(at, stop)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, p: Params) -> tuple[list[str], np.ndarray]:
-    """A bounded sample, in hash order, of labelled rows outside the held-out fold.
+def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, p: Params) -> DataFrame:
+    """text and y of a bounded sample, the first ``p.rows`` in hash order, of labelled rows outside the held-out fold.
 
     A doc_id that labels or documents repeat counts once (largest label, least
     text); null labels and ids take no part.
@@ -184,13 +168,22 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: i
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(rows), "doc_id")
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
-    found, room = [], p.text_mb << 20
-    for r in texts.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
-        room -= len(r.text)
-        if room < 0 and found:
-            break
-        found.append((r.text, r.y))
-    return [x for x, _ in found], np.array([y for _, y in found], np.int64)
+    return texts.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "y")
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, p: Params) -> np.ndarray:
+    """The model, trained in one task on the bounded sample; texts do not come to the driver."""
+
+    def learn(batches):
+        texts, y = [], []
+        for batch in batches:
+            texts.append(batch.column("text"))
+            y.append(batch.column("y").to_numpy())
+        model = train((t.as_py() for part in texts for t in part), np.concatenate(y) if y else np.zeros(0, np.int64), p)
+        yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()])], names=["model"])
+
+    found = short_batches(sample(docs, labels, label, modulus, held, p)).mapInArrow(learn, "model binary").collect()
+    return np.frombuffer(found[0]["model"], np.float32) if found else train([], np.zeros(0, np.int64), p)
 
 
 def held_out(modulus: int, held: int):
@@ -214,6 +207,6 @@ def classify(docs: DataFrame, model: np.ndarray, p: Params, threshold: float, ke
             columns = [batch.column(c) for c in keep] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score", "predicted"])
 
-    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    source = short_batches(docs).select(*dict.fromkeys([*keep, "text"]))
     schema = source.select(*keep).schema.add("score", "double").add("predicted", "integer")
     return source.mapInArrow(score, schema)
