@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from structmill.llm import words as W
-from structmill.llm.shared import discard, keyed_rows, saved, small
+from structmill.llm.shared import discard, keyed_rows, saved, short_batches, small
 from structmill.operators.components import connected_components
 
 WIDTH, PERCENT = 3, 90
@@ -106,7 +106,7 @@ def sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()])], names=["slice", "counts"])
 
     kind = "slice int, counts binary"
-    rows = docs.select("text").mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect()
+    rows = short_batches(docs).select("text").mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect()
     parts = {r["slice"]: np.frombuffer(r["counts"], np.uint32) for r in rows}
     if not parts:
         return np.zeros(1 << SKETCH_BITS, np.uint32), np.zeros(LIGHT_AT_MOST + 1, np.uint32)

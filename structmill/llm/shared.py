@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from structmill.shared import discard, folder, saved, small
 
-__all__ = ["discard", "folder", "keyed_rows", "saved", "small"]
+__all__ = ["discard", "folder", "keyed_rows", "saved", "short_batches", "small"]
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``; its session, unless it has a setting of its own, makes Arrow batches of at most ``rows`` rows from now on, as texts are long."""
+    if df.sparkSession.conf.get(_BATCH) == "10000":
+        df.sparkSession.conf.set(_BATCH, str(rows))
+    return df
 
 
 def keyed_rows(docs: DataFrame, *named: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:

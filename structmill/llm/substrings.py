@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from structmill.llm import words as W
-from structmill.llm.shared import saved
+from structmill.llm.shared import saved, short_batches
 
 WIDTH = 20
 ROUNDS = 2
@@ -247,7 +247,7 @@ def _keeps(batches):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (words joined by one blank) of every document."""
     last = F.lit((1 << 63) - 1)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.xxhash64("text").alias("tid"), "text")
+    rows = short_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.xxhash64("text").alias("tid"), "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = rows.where(F.length("text") >= 2 * WIDTH - 1).mapInArrow(_sends, _SCHEMA)
     found = sent.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_compares, "doc_id long, tid long, start int, mask int")

@@ -332,15 +332,18 @@ def test_subwords_catch_misspellings():
 
 @pytest.mark.parametrize("score, label", [(toxicity.op6_toxicity, "toxic"), (quality.op7_quality, "quality")])
 def test_held_out(spark, score, label):
-    sf = SMALLEST.replace("0.001", "0.01")
+    sf = SMALLEST.replace("0.001", "0.1")
     found = spark.read.parquet(f"{sf}/labels.parquet")
     got = score(spark.read.parquet(f"{sf}/documents.parquet"), found).toPandas().merge(found.toPandas(), on="doc_id")
     assert got.score.between(0, 1).all()
     of = got[got.held_out]
     rank = of.score.rank()
     ones = of[label] == 1
+    # at the contract's thresholds
+    hit = (of.predicted == 1) & ones
+    assert hit.sum() >= 0.75 * ones.sum() and hit.sum() >= 0.8 * (of.predicted == 1).sum()
     area = (rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
-    assert area > 0.7
+    assert area > 0.85
 
 
 def test_top_k(spark):
