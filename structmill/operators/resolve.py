@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from structmill.operators.windows import first_of
+from structmill.shared import saved
 
 #: Fixed values.
 EXACT_CUTOFF, LIMITED_CHANGES, SYNTHETIC, HOMOGENEOUS_SIZE = 19, 80, "32630", 70
 DISCREPANCY_CUTOFF, MAX_RESOLUTION = 0.4, 20.0
-LENGTH_INCREASE, BP_INCREASE = 0.5, 0.5
+BP_INCREASE = 0.5  # percent, of pairs and of length
 
 
 def good_alignment(entity_type: str = "rna") -> Column:
@@ -90,43 +91,68 @@ def by_structure(members: DataFrame, group: str) -> DataFrame:
 
 @representative("quality-metrics")
 def by_metrics(members: DataFrame, group: str) -> DataFrame:
-    """X-ray members up to 4.0 with quality (else all), of at least 75 % of the longest, within 0.2 of the best resolution; then by metrics."""
+    """X-ray members up to 4.0 with all metrics (else all), of at least 75 % of the longest, within 0.2 of the best resolution; of these the least
+    rsrz * clashscore * backbone * resolution ^ 4 / (length + bp), a metric that is missing or 0 standing at 100, 500 and 100."""
     w = Window.partitionBy(group)
-    good = (F.col("method") == "X-RAY DIFFRACTION") & (F.col("resolution") <= 4.0) & F.col("has_quality")
-    rows = members.withColumn("_good", F.coalesce(good, F.lit(False))).withColumn("_any", F.max("_good").over(w)).where("_good = _any")
+    has = lambda c: F.coalesce(F.col(c) != 0, F.lit(False))
+    good = F.coalesce((F.col("method") == "X-RAY DIFFRACTION") & (F.col("resolution") <= 4.0), F.lit(False)) & has("rsrz") & has("backbone") & has("clashscore")
+    rows = members.withColumn("_good", good).withColumn("_any", F.max("_good").over(w)).where("_good = _any")
     rows = rows.withColumn("_l", F.max("length").over(w)).where("length >= 0.75 * _l")
-    rows = rows.withColumn("_r", F.min("resolution").over(w)).where("_r is null or resolution <= _r + 0.2")
-    order = [F.coalesce("rsrz", F.lit(100.0)), F.coalesce("backbone", F.lit(100.0)), F.coalesce("clashscore", F.lit(500.0)), F.col("id")]
-    return first_of(rows, [group], order).drop("_good", "_any", "_l", "_r")
+    rows = rows.withColumn("_r", F.min("resolution").over(w)).where("_r is null or abs(resolution - _r) <= 0.2")
+    metric = lambda c, default: F.when(has(c), F.col(c)).otherwise(F.lit(default))
+    r = F.col("resolution")
+    score = metric("rsrz", 100.0) * metric("clashscore", 500.0) * metric("backbone", 100.0) * (r * r * r * r) / (F.col("length") + F.col("bp"))
+    return first_of(rows, [group], [score.asc_nulls_last(), F.col("id")]).drop("_good", "_any", "_l", "_r")
+
+
+def _climb(members: DataFrame, group: str, cutoff: float, start: DataFrame | None = None) -> DataFrame:
+    """From ``start`` (group, id; the naive one where it has none), moves again and again to the first member in naive order that has at least as many pairs and as
+    great a length, not both equal, and increases of at least ``cutoff`` percent in both, until no group moves.
+
+    Every round is a join by group and an aggregate over the groups that moved in the last one; each move raises pairs or length.
+    """
+    rows = members
+    if "method" in members.columns:
+        rows = rows.withColumn("_ok", F.coalesce(F.col("method") == "X-RAY DIFFRACTION", F.lit(False)))
+        rows = rows.withColumn("_any", F.max("_ok").over(Window.partitionBy(group))).where("_ok = _any").drop("_ok", "_any")
+    ratio = F.when((F.col("bp") == 0) | (F.col("length") == 0), 0.0).otherwise(F.col("bp") / F.col("length"))
+    place = F.struct(ratio.alias("ratio"), F.coalesce(-F.col("resolution"), F.lit(float("-inf"))).alias("res"), F.col("id").alias("id"), F.col("bp").alias("bp"), F.col("length").alias("length"))
+    rows = saved(rows.select(F.col(group).alias("_g"), place.alias("place")), "members")
+    now = rows.groupBy("_g").agg(F.max("place").alias("at"))
+    if start is not None:
+        chosen = rows.join(start.select(F.col(group).alias("_g"), F.col("id").alias("_id")), "_g").where("place.id = _id").select("_g", F.col("place").alias("chosen"))
+        now = now.join(chosen, "_g", "left").select("_g", F.coalesce("chosen", "at").alias("at"))
+    now = moving = saved(now, "now")
+    while True:
+        grown = lambda c: F.when(F.col(f"at.{c}") == 0, F.when(F.col(f"place.{c}") == 0, 0.0).otherwise(100.0)).otherwise((F.col(f"place.{c}").cast("double") / F.col(f"at.{c}") - 1) * 100)
+        larger = (F.col("place.bp") >= F.col("at.bp")) & (F.col("place.length") >= F.col("at.length")) & ((F.col("place.bp") != F.col("at.bp")) | (F.col("place.length") != F.col("at.length")))
+        better = rows.join(moving, "_g").where(larger & (grown("length") >= cutoff) & (grown("bp") >= cutoff))
+        moving = saved(better.groupBy("_g").agg(F.max("place").alias("at")), "moving")
+        if moving.isEmpty():
+            break
+        now = saved(now.join(moving.select("_g"), "_g", "left_anti").unionByName(moving), "now")
+    return members.join(now.select(F.col("_g").alias(group), F.col("at.id").alias("id")), [group, "id"], "left_semi")
 
 
 @representative("percent-increase")
 def by_increase(members: DataFrame, group: str) -> DataFrame:
-    """From the naive one on, moves to a member with at least as many pairs and as great a length whose increases both reach 0.5 %, until none is left."""
+    """The naive one, moved on while both increases reach 0.5 %."""
+    return _climb(members, group, BP_INCREASE)
 
-    def climb(rows: pd.DataFrame) -> pd.DataFrame:
-        ratio = (rows["bp"] / rows["length"].where(rows["length"] > 0)).fillna(0.0)
-        order = rows.assign(_ratio=ratio, _res=-rows["resolution"].fillna(float("inf"))).sort_values(["_ratio", "_res", "id"], ascending=False)
-        now = order.iloc[0]
-        while True:
-            better = order[(order["bp"] >= now["bp"]) & (order["length"] >= now["length"])]
-            grown = better[[_increase(now["bp"], b) >= BP_INCREASE and _increase(now["length"], n) >= LENGTH_INCREASE for b, n in zip(better["bp"], better["length"])]]
-            if grown.empty:
-                return rows[rows["id"] == now["id"]].head(1)
-            now = grown.sort_values(["bp", "length", "id"]).iloc[-1]
 
-    return members.groupBy(group).applyInPandas(climb, members.schema)
+@representative("any-increase")
+def by_any_increase(members: DataFrame, group: str) -> DataFrame:
+    return _climb(members, group, 0.0)
 
 
-def _increase(initial, current) -> float:
-    """Percent; 0 from 0 to 0, 100 from 0 to more."""
-    if initial == 0:
-        return 0.0 if current == 0 else 100.0
-    return 100.0 * (current - initial) / initial
+def by_parent_increase(members: DataFrame, group: str, parents: DataFrame) -> DataFrame:
+    """As by_increase, from the representative of a group's only parent if it is a member; ``parents``: group, id, one row a parent."""
+    single = parents.groupBy(group).agg(F.count("*").alias("_n"), F.first("id").alias("id")).where("_n = 1")
+    return _climb(members, group, BP_INCREASE, single.select(group, "id"))
 
 
 def percent_increase(initial: Column, current: Column) -> Column:
-    return F.when(initial == 0, F.when(current == 0, 0.0).otherwise(100.0)).otherwise(100.0 * (current - initial) / initial)
+    return F.when(initial == 0, F.when(current == 0, 0.0).otherwise(100.0)).otherwise((current.cast("double") / initial - 1) * 100)
 
 
 def hits_kept(hits: DataFrame, chain: str, score: str, start: str, end: str, most_overlap: int = 10) -> DataFrame:

@@ -138,11 +138,11 @@ def length_band_pairs(documents):
 
 
 @query("lineitem", sql="""
-WITH s AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1, 2), n AS (SELECT o, count(*) AS n FROM s GROUP BY 1),
+WITH s AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem GROUP BY 1, 2), n AS (SELECT o, count(*) AS n FROM s GROUP BY 1),
 c AS (SELECT a.o AS x, b.o AS y, count(*) AS c FROM s a JOIN s b ON a.p = b.p AND a.o < b.o GROUP BY 1, 2)
 SELECT x, y, CASE WHEN c = m.n AND c = k.n THEN 'exact' WHEN c = m.n THEN 'contained' WHEN c = k.n THEN 'enclose' ELSE 'partial' END AS overlap FROM c JOIN n m ON x = m.o JOIN n k ON y = k.o""")
 def overlap_classify(lineitem):
-    sets = lineitem.where("l_suppkey % 3 = 0").groupBy(F.col("l_orderkey").alias("o")).agg(F.collect_set("l_partkey").alias("s"))
+    sets = lineitem.groupBy(F.col("l_orderkey").alias("o")).agg(F.collect_set("l_partkey").alias("s"))
     each = sets.select("o", F.explode("s").alias("p"))
     shared = each.withColumnRenamed("o", "x").join(each.withColumnRenamed("o", "y"), "p").where("x < y").select("x", "y").distinct()
     both = shared.join(sets.toDF("x", "a"), "x").join(sets.toDF("y", "b"), "y")
@@ -322,11 +322,46 @@ def representative_naive(lineitem):
     return resolve.REPRESENTATIVES["naive"](_members(lineitem), "g").select("g", "id", "bp", "length")
 
 
-@query("lineitem")
+def _climbing(cutoff, first="SELECT g, max(p) AS p FROM r GROUP BY 1"):
+    """The climb in SQL; r: members with p, their place in naive order."""
+    grown = lambda c: f"CASE WHEN c.p.{c} = 0 THEN CASE WHEN r.p.{c} = 0 THEN 0.0 ELSE 100.0 END ELSE (r.p.{c}::DOUBLE / c.p.{c} - 1) * 100 END >= {cutoff}"
+    return f"""r AS (SELECT g, {{'ratio': CASE WHEN bp = 0 OR length = 0 THEN 0.0::DOUBLE ELSE bp / length END, 'res': -resolution, 'id': id, 'bp': bp, 'length': length}} AS p FROM m),
+c AS ({first} UNION ALL SELECT g, p FROM (SELECT c.g, max(r.p) AS p FROM c JOIN r USING (g) WHERE r.p.bp >= c.p.bp AND r.p.length >= c.p.length AND (r.p.bp <> c.p.bp OR r.p.length <> c.p.length) AND {grown("length")} AND {grown("bp")} GROUP BY 1))
+SELECT g, p.id AS id, p.bp AS bp, p.length AS length FROM (SELECT g, p, row_number() OVER (PARTITION BY g ORDER BY p.bp + p.length DESC) AS k FROM c) WHERE k = 1"""
+
+
+@query("lineitem", sql=f"WITH RECURSIVE {MEMBERS}, {_climbing(0.5)}")
 def representative_percent_increase(lineitem):
     return resolve.REPRESENTATIVES["percent-increase"](_members(lineitem), "g").select("g", "id", "bp", "length")
 
 
+@query("lineitem", sql=f"WITH RECURSIVE {MEMBERS}, {_climbing(0)}")
+def representative_any_increase(lineitem):
+    return resolve.REPRESENTATIVES["any-increase"](_members(lineitem), "g").select("g", "id", "bp", "length")
+
+
+@query("lineitem", sql=f"WITH RECURSIVE {MEMBERS}, {_climbing(0.5, "SELECT r.g, coalesce(max(CASE WHEN p.id = f THEN p END), max(p)) AS p FROM r LEFT JOIN (SELECT g, min(id) AS f FROM m GROUP BY 1 HAVING g % 3 = 0) USING (g) GROUP BY 1")}")
+def representative_parent_increase(lineitem):
+    """Every third group has one parent, represented by the smallest id; others have none or two."""
+    members = _members(lineitem)
+    one = members.groupBy("g").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    parents = one.where("g % 3 = 0").select("g", "id").unionByName(one.where("g % 3 = 1").select("g", F.explode(F.array("id", "other")).alias("id")))
+    return resolve.by_parent_increase(members, "g", parents).select("g", "id", "bp", "length")
+
+
+@query("lineitem", sql="""
+WITH m AS (SELECT l_orderkey AS id, l_orderkey % 100 AS g, count(*) AS length, count(*) FILTER (l_returnflag = 'A') AS bp, max(l_quantity) / 10 AS resolution, CASE WHEN max(l_linestatus) = 'F' THEN 'X-RAY DIFFRACTION' ELSE 'SOLUTION NMR' END AS method, max(l_suppkey) AS rsrz, CASE WHEN count(*) > 2 THEN max(l_linenumber) END AS clashscore, min(l_partkey) % 9 AS backbone FROM lineitem GROUP BY 1),
+q AS (SELECT *, coalesce(method = 'X-RAY DIFFRACTION' AND resolution <= 4.0 AND rsrz <> 0 AND clashscore <> 0 AND backbone <> 0, false) AS good FROM m), a AS (SELECT * FROM (SELECT *, max(good) OVER (PARTITION BY g) AS b FROM q) WHERE good = b),
+n AS (SELECT * FROM (SELECT *, max(length) OVER (PARTITION BY g) AS l FROM a) WHERE length >= 0.75 * l), r AS (SELECT * FROM (SELECT *, min(resolution) OVER (PARTITION BY g) AS w FROM n) WHERE abs(resolution - w) <= 0.2),
+s AS (SELECT g, id, CASE WHEN rsrz <> 0 THEN rsrz ELSE 100.0::DOUBLE END * CASE WHEN clashscore <> 0 THEN clashscore ELSE 500.0::DOUBLE END * CASE WHEN backbone <> 0 THEN backbone ELSE 100.0::DOUBLE END * (resolution * resolution * resolution * resolution) / (length + bp) AS k FROM r)
+SELECT g, id FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k, id) AS n FROM s) WHERE n = 1""")
+def representative_metrics(lineitem):
+    metrics = [F.max("l_suppkey").alias("rsrz"), F.when(F.count("*") > 2, F.max("l_linenumber")).alias("clashscore"), (F.min("l_partkey") % 9).alias("backbone")]
+    method = F.when(F.max("l_linestatus") == "F", "X-RAY DIFFRACTION").otherwise("SOLUTION NMR").alias("method")
+    rows = lineitem.groupBy(F.col("l_orderkey").alias("id"), (F.col("l_orderkey") % 100).alias("g")).agg(F.count("*").alias("length"), F.count_if(F.col("l_returnflag") == "A").alias("bp"), (F.max("l_quantity") / 10).alias("resolution"), method, *metrics)
+    return resolve.REPRESENTATIVES["quality-metrics"](rows, "g").select("g", "id")
+
+
 @query("documents", "labels", sql=r"""
 SELECT doc_id, CASE WHEN n_chars < 200 THEN 2 WHEN lang IS NULL THEN 4 WHEN source = 'src7' THEN 7 WHEN contains(text, '$$$') THEN 5 WHEN contains(text, ' | ') THEN 6 WHEN toxic = 1 THEN 8 WHEN quality = 0 THEN 8 WHEN contains(text, 'Licensed') THEN 3 ELSE 1 END AS status
 FROM documents LEFT JOIN (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY 1) USING (doc_id)""")
@@ -358,11 +393,11 @@ def id_parse(lineitem):
 
 
 @query("part", sql="""
-WITH b AS (SELECT p_brand, CASE p_size % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' ELSE 'U' END AS b FROM part WHERE p_partkey % 2 = 0), s AS (SELECT p_brand, string_agg(DISTINCT b, '' ORDER BY b) AS s FROM b GROUP BY 1)
+WITH b AS (SELECT p_brand, CASE p_size % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' ELSE 'U' END AS b FROM part), s AS (SELECT p_brand, string_agg(DISTINCT b, '' ORDER BY b) AS s FROM b GROUP BY 1)
 SELECT p_brand, CASE s WHEN 'A' THEN 'A' WHEN 'C' THEN 'C' WHEN 'G' THEN 'G' WHEN 'U' THEN 'U' WHEN 'AC' THEN 'M' WHEN 'AG' THEN 'R' WHEN 'AU' THEN 'W' WHEN 'CG' THEN 'S' WHEN 'CU' THEN 'Y' WHEN 'GU' THEN 'K' WHEN 'ACG' THEN 'V' WHEN 'ACU' THEN 'H' WHEN 'AGU' THEN 'D' WHEN 'CGU' THEN 'B' ELSE 'N' END AS code FROM s""")
 def iupac_consensus(part):
     base = F.element_at(F.array(*map(F.lit, "ACGU")), F.col("p_size") % 4 + 1)
-    return part.where("p_partkey % 2 = 0").select("p_brand", base.alias("b")).groupBy("p_brand").agg(agg.iupac("b").alias("code"))
+    return part.select("p_brand", base.alias("b")).groupBy("p_brand").agg(agg.iupac("b").alias("code"))
 
 
 @query("lineitem", sql="""
@@ -417,11 +452,11 @@ def alignment_summary(lineitem):
 
 
 @query("lineitem", sql="""
-WITH s AS (SELECT l_suppkey, 5 * count(*) AS max_size, 4 * count(*) AS min_size, 4 * count(*) AS aligned_count, 4 * count(*) - count(*) FILTER (l_returnflag = 'A') AS match_count, count(*) FILTER (l_returnflag = 'A') AS mismatch_count FROM lineitem WHERE l_linenumber = 7 GROUP BY 1)
+WITH s AS (SELECT l_suppkey, 5 * count(*) AS max_size, 4 * count(*) AS min_size, 4 * count(*) AS aligned_count, 4 * count(*) - count(*) FILTER (l_returnflag = 'A') AS match_count, count(*) FILTER (l_returnflag = 'A') AS mismatch_count FROM lineitem GROUP BY 1)
 SELECT l_suppkey, CASE WHEN min_size < 19 THEN 0 WHEN min_size < 80 THEN (mismatch_count <= 4)::INT WHEN mismatch_count = 0 OR match_count / min_size >= 0.95 THEN 1 ELSE 0 END AS good FROM s""")
 def good_alignment(lineitem):
     bad = F.count_if(F.col("l_returnflag") == "A")
-    rows = lineitem.where("l_linenumber = 7").groupBy("l_suppkey").agg((5 * F.count("*")).alias("max_size"), (4 * F.count("*")).alias("min_size"), (4 * F.count("*")).alias("aligned_count"), (4 * F.count("*") - bad).alias("match_count"), bad.alias("mismatch_count"))
+    rows = lineitem.groupBy("l_suppkey").agg((5 * F.count("*")).alias("max_size"), (4 * F.count("*")).alias("min_size"), (4 * F.count("*")).alias("aligned_count"), (4 * F.count("*") - bad).alias("match_count"), bad.alias("mismatch_count"))
     return rows.select("l_suppkey", resolve.good_alignment().alias("good"))
 
 

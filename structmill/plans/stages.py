@@ -92,7 +92,8 @@ def run(spark: SparkSession, target: str, entries: DataFrame, folder: str, now,
             if dry_run:
                 rows.explain("formatted")
             else:
-                kept = spark.read.parquet(table).join(todo.withColumnRenamed("entry", stage.keys[0]), stage.keys[0], "left_anti") if there(table) else None
+                stored = sinks.current(spark, table)
+                kept = None if stored is None else stored.join(todo.withColumnRenamed("entry", stage.keys[0]), stage.keys[0], "left_anti")
                 sinks.replace(spark, rows if kept is None else kept.unionByName(rows), table)
                 todo.select("entry", F.lit(name).alias("stage"), F.lit(now).cast("timestamp").alias("time")).write.mode("append").parquet(marks)
             ran.append(name)

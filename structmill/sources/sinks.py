@@ -17,27 +17,59 @@ def append(rows: DataFrame, path: str, *, dry_run: bool = False, partition_by: t
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Writes beside the table and then takes its place, so readers and reruns never see a part."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    staged, target, old = (hadoop.Path(p) for p in (f"{path}.new-{uuid.uuid4().hex}", path, f"{path}.old-{uuid.uuid4().hex}"))
-    rows.write.parquet(staged.toString())
-    files = target.getFileSystem(conf)
-    if files.exists(target):
-        files.rename(target, old)
-    files.rename(staged, target)
-    files.delete(old, True)
+#: Folder of a table's versions; plain readers of the table pass over it.
+_VERSIONS = "_versions"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Finished versions of a table that ``replace`` writes, oldest first: folders that Spark's committer has marked whole."""
+    files, new = _hadoop(spark, path)
+    if not files.exists(new(path, _VERSIONS)):
+        return []
+    found = [s.getPath() for s in files.listStatus(new(path, _VERSIONS)) if s.isDirectory()]
+    return sorted(p.toString() for p in found if files.exists(new(p, "_SUCCESS")))
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest finished version of the table, or before any the files that ``append`` wrote; None for no table."""
+    found = versions(spark, path)
+    if found:
+        return spark.read.parquet(found[-1])
+    files, new = _hadoop(spark, path)
+    plain = files.exists(new(path)) and any(s.getPath().getName() != _VERSIONS for s in files.listStatus(new(path)))
+    return spark.read.parquet(path) if plain else None
+
+
+def replace(spark: SparkSession, rows: DataFrame, path: str, keep: int = 2) -> None:
+    """Writes a version of its own beside the others; it counts once it is whole, so a crash at any step leaves the one before.
+
+    Unfinished older versions and all but the last ``keep`` go afterwards.
+    """
+    before = versions(spark, path)
+    number = int(before[-1].rsplit("/", 1)[1][:9]) + 1 if before else 0
+    rows.write.parquet(f"{path}/{_VERSIONS}/{number:09d}-{uuid.uuid4().hex}")
+    files, new = _hadoop(spark, path)
+    kept = {new(p).getName() for p in versions(spark, path)[-keep:]}
+    for status in files.listStatus(new(path, _VERSIONS)):
+        name = status.getPath().getName()
+        if name not in kept and int(name[:9]) <= number:
+            files.delete(status.getPath(), True)
 
 
 def merge(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], exists: bool = True) -> None:
     """Upsert by key."""
-    replace(spark, upsert(spark.read.parquet(path), rows, keys) if exists else rows, path)
+    stored = current(spark, path) if exists else None
+    replace(spark, upsert(stored, rows, keys) if stored is not None else rows, path)
 
 
 def delete(spark: SparkSession, path: str, gone: DataFrame, keys: list[str]) -> None:
     """Deletes the rows of the keys."""
-    replace(spark, spark.read.parquet(path).join(gone.select(*keys).distinct(), keys, "left_anti"), path)
+    replace(spark, current(spark, path).join(gone.select(*keys).distinct(), keys, "left_anti"), path)
 
 
 def csv(rows: DataFrame, path: str, *, sep: str = ",", quote_all: bool = True, gzip: bool = False, allow_empty: bool = False) -> None:

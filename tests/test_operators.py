@@ -141,12 +141,39 @@ def test_names(spark):
 
 
 def test_percent_increase_climbs(spark):
-    rows = [(1, "a", 10, 100, 2.0), (1, "b", 20, 210, 2.0), (1, "c", 30, 400, 3.0), (2, "d", 0, 0, None)]
-    got = resolve.REPRESENTATIVES["percent-increase"](spark.createDataFrame(rows, "g int, id string, bp long, length long, resolution double"), "g")
-    assert {r.g: r.id for r in got.collect()} == {1: "c", 2: "d"}
-
-
-def test_levels():
-    assert stages.levels({"c": {"a", "b"}, "b": {"a"}}) == [["a"], ["b"], ["c"]]
-    with pytest.raises(ValueError):
-        stages.levels({"a": {"b"}, "b": {"a"}})
+    """The first in naive order beyond the cutoffs, not the largest; it stays where the next step is too small."""
+    rows = [(1, "s", 10, 50, 2.0), (1, "a", 1000, 10000, 2.0), (1, "b", 999, 9000, 2.0), (2, "x", 5, 10, None), (2, "y", 5, 10, 1.0), (3, "z", 0, 0, 1.0), (3, "w", 0, 5, 1.0)]
+    df = spark.createDataFrame(rows, "g int, id string, bp long, length long, resolution double")
+    got = resolve.REPRESENTATIVES["percent-increase"](df, "g")
+    assert {r.g: r.id for r in got.collect()} == {1: "b", 2: "y", 3: "z"}
+    got = resolve.REPRESENTATIVES["any-increase"](df, "g")
+    assert {r.g: r.id for r in got.collect()} == {1: "a", 2: "y", 3: "w"}
+
+
+def test_metrics_are_multiplied(spark):
+    rows = [(1, "p", 10, 20, 2.0, "X-RAY DIFFRACTION", 10.0, 20.0, 1.0), (1, "q", 10, 20, 2.0, "X-RAY DIFFRACTION", 9.0, 20.0, 50.0)]
+    df = spark.createDataFrame(rows, "g int, id string, bp long, length long, resolution double, method string, rsrz double, backbone double, clashscore double")
+    assert [r.id for r in resolve.REPRESENTATIVES["quality-metrics"](df, "g").collect()] == ["p"]
+
+
+def test_a_crash_while_replacing_loses_nothing(spark, tmp_path, monkeypatch):
+    from structmill.sources import sinks
+
+    path = f"{tmp_path}/t"
+    assert sinks.current(spark, path) is None
+    sinks.replace(spark, spark.range(3), path)
+    # a write that breaks off leaves files without the mark
+    broken = spark.range(9).withColumn("x", F.raise_error(F.lit("gone")))
+    with pytest.raises(Exception, match="gone"):
+        sinks.replace(spark, broken, path)
+    (tmp_path / "t" / "_versions" / "000000001-abc").mkdir()
+    assert sinks.current(spark, path).count() == 3
+    # a crash after the write, before old versions go
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_hadoop", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.replace(spark, spark.range(5), path)
+    for n in (4, 5, 6):
+        sinks.replace(spark, spark.range(n), path)
+        assert sinks.current(spark, path).count() == n
+    assert len(sinks.versions(spark, path)) == 2
