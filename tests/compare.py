@@ -1,9 +1,11 @@
 """Order-insensitive comparison of two results."""
 
+import pandas as pd
+
 
 def rows(frame, columns):
     def plain(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return None
         if isinstance(v, bool):
             return str(v)
