@@ -367,6 +367,15 @@ def test_cascade(spark):
     assert cascade.listed(url_filter.hash_keys(pa.array([f"k{i}" for i in range(2000)]))).nonzero()[0].tolist() == list(range(0, 2000, 10))
 
 
+def test_few_false_positives_reach_the_driver(spark):
+    """The first level over a universe of a million keys: about as many others pass as are listed."""
+    listed = [f"k{i}" for i in range(0, 10**6, 1000)]
+    cascade = url_filter.build(spark.range(10**6).select(F.concat(F.lit("k"), "id").alias("key")), listed)
+    every = url_filter.hash_keys(pa.array([f"k{i}" for i in range(10**6)]))
+    assert url_filter._passes(cascade.levels[0], every, 0).sum() < 3 * len(listed)
+    assert cascade.listed(every).nonzero()[0].tolist() == list(range(0, 10**6, 1000))
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "https://A.Example.COM/en/7?x", "x://example.com", "http://a.com/en/", "http://notexample.com/en/7", "http://b.net/de/8#f", "http://example.net/de/80", "a://b://org/es/"]
     pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(urls)], "page_id long, url string, html string, rule string")
