@@ -528,19 +528,19 @@ def labels_of(h: np.ndarray, doc: np.ndarray, data: np.ndarray, start: np.ndarra
     which = np.searchsorted(new, core, "right") - 1
     lo, stop = np.maximum(core - EDGE, new[which]), np.minimum(core + CORE, last[which])
     hi = np.minimum(stop + EDGE, last[which])
-    for k in range(0, len(core), 1024):  # cores in order, so that a part's words stand together
-        a, b = int(lo[k]), int(hi[k : k + 1024].max())
+    for k in range(0, len(core), 4096):  # cores in order, so that a part's words stand together
+        a, b = int(lo[k]), int(hi[k : k + 4096].max())
         rows = told.of(h[a:b], data, start[a:b], end[a:b])
         gain = told.rows[rows, 0]
         for o, shift in enumerate(OFFSETS[1:], 1):
             i, j = (slice(-shift, None), slice(None, shift)) if shift < 0 else (slice(None, -shift), slice(shift, None))
             gain[i] += np.where((doc[a:b][i] == doc[a:b][j])[:, None], told.rows[rows[j], o], 0)
         worth = np.append(0, np.cumsum(gain[:, 1:].max(1) - gain[:, 0] + lead >= 0))
-        part = np.arange(k, min(k + 1024, len(core)))
+        part = np.arange(k, min(k + 4096, len(core)))
         part = part[worth[hi[part] - a] > worth[lo[part] - a]]
         part = part[np.argsort(hi[part] - lo[part], kind="stable")]
-        for q in range(0, len(part), 256):
-            some = part[q : q + 256]
+        for q in range(0, len(part), 2048):
+            some = part[q : q + 2048]
             sizes = hi[some] - lo[some]
             at = lo[some][:, None] + np.arange(int(sizes.max()))
             path = viterbi(gain[np.minimum(at, hi[some][:, None] - 1) - a], move, sizes)
