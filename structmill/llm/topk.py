@@ -1,12 +1,17 @@
 """Exact top-k by inner product: a dual-tree search over one cover tree of queries and data.
 
-The tree's nested centres are fitted on a bounded sample (farthest first, levels
-by shrinking covering radius); every row is then assigned to its nearest leaf
-centre, and covering radii are measured over all rows, so results do not depend
-on the sample.  A first pass over each query leaf's most promising leaves gives
-every query a k-th score.  The traversal descends pairs of nodes together and
-drops a pair when  cq.cd + rq|cd| + rd|cq| + rq rd  is below the worst k-th score
-of the query node; surviving pairs of leaves are multiplied block by block.
+The tree's upper levels are fitted on a bounded sample (farthest first, levels by
+shrinking covering radius; a leaf for each ``LEAF_ROWS`` rows within ``LEAVES``);
+every row is then assigned to its nearest leaf centre, and covering radii are
+measured over all rows, so results do not depend on the sample.  The rows of a
+leaf lie in slots by a hash, a block each, and each block goes on downwards: nets
+of halving radius down to balls of some ``BALL`` rows around rows of its own.  A
+first pass over each query leaf's most promising leaves gives every query a k-th
+score.  The traversal descends pairs of nodes together and drops a pair when
+cq.cd + rq|cd| + rd|cq| + rq rd  is below the worst k-th score of the query node;
+pairs of leaves that survive meet as pairs of blocks, by leaf and slot, where the
+descent goes on through the data's balls against each query,  q.cd + rd|q|,  and
+only rows of balls that some query of the block may need are multiplied.
 
 Vectors are integers, floor(scale * x).  Defined cases: a vector that is null or
 holds null or non-finite components takes no part; shorter vectors are padded
@@ -27,8 +32,12 @@ from pyspark.sql.window import Window
 
 from structmill.llm.shared import saved
 
-FIT_ROWS, LEAVES, SHRINK = 4000, 64, 1.3
+FIT_ROWS, SHRINK = 4000, 1.3
+#: Leaves at least and at most, and the rows of a leaf between them.
+LEAVES, LEAF_ROWS = (64, 512), 512
 BLOCK, QUERY_BLOCK = 4096, 512
+#: Rows of a lowest ball, on average, and queries that go through a block's balls together.
+BALL, TOGETHER = 16, 32
 SEEDS = 3
 
 
@@ -40,7 +49,7 @@ class Tree:
     levels: tuple[np.ndarray, ...]
 
 
-def fit(sample: np.ndarray, leaves: int = LEAVES) -> Tree:
+def fit(sample: np.ndarray, leaves: int) -> Tree:
     """Nested nets by farthest-first insertion; level i holds the centres inserted at a radius of at least R / SHRINK ** i."""
     order, radius = [0], []
     distance = np.linalg.norm(sample - sample[0], axis=1)
@@ -90,10 +99,51 @@ def survivors(tree: Tree, query_radius: np.ndarray, data_radius: np.ndarray, wor
         if depth < len(tree.levels):
             up = tree.levels[depth]
             below = [np.flatnonzero(up == i) for i in range(len(centres))]
-            pairs = np.array([(a, b) for q, d in pairs for a in below[q] for b in below[d]]).reshape(-1, 2)
+            pairs = np.concatenate([np.stack([np.repeat(below[q], len(below[d])), np.tile(below[d], len(below[q]))], 1) for q, d in pairs] or [pairs])
     return [(int(q), int(d)) for q, d in pairs]
 
 
+def balls(x: np.ndarray, ball: int = BALL) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lowest nodes below one block's root: each row's ball, and of each ball its centre's row, its radius, and the ball above.
+
+    Farthest-first centres; the upper half-deep net is the first sqrt(n) of them, and a lower centre hangs under its nearest upper one.
+    """
+    x = x.astype(np.float64)
+    own, distance, order = np.zeros(len(x), np.int32), np.full(len(x), np.inf), [0]
+    norm = (x**2).sum(1)
+    for c in range(max(1, len(x) // ball)):
+        d = np.sqrt(np.maximum(norm - 2 * (x @ x[order[c]]) + norm[order[c]], 0))
+        nearer = d < distance
+        own[nearer], distance[nearer] = c, d[nearer]
+        far = int(distance.argmax())
+        if distance[far] == 0:
+            break
+        order.append(far)
+    order = np.array(order[: int(own.max()) + 1])
+    # measured anew, as the differences of large numbers above round
+    exact = np.sqrt(((x - x[order[own]]) ** 2).sum(1))
+    radius = np.zeros(len(order))
+    np.maximum.at(radius, own, exact)
+    top = x[order[: max(1, int(len(order) ** 0.5))]]
+    up = ((top**2).sum(1) - 2 * x[order] @ top.T).argmin(1).astype(np.int32)
+    return own, order.astype(np.int32), radius, up
+
+
+def needed(q: np.ndarray, low: np.ndarray, centres: np.ndarray, radius: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Balls that may hold a row of score at least ``low`` for one of the queries, by descent from the balls above."""
+    top = centres[: int(up.max(initial=0)) + 1]
+    wide = np.zeros(len(top))
+    np.maximum.at(wide, up, np.linalg.norm(centres - top[up], axis=1) + radius)
+    length = np.linalg.norm(q, axis=1)
+
+    def reach(c, r):
+        bound = q @ c.T + length[:, None] * r
+        return (bound * (1 + 1e-9) + 1e-6 * (1 + np.abs(bound)) >= low[:, None]).any(0)
+
+    at = np.flatnonzero(reach(top, wide)[up])
+    return at[reach(centres[at], radius[at])]
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a list column as float64, padded with 0."""
     column = column.cast(pa.large_list(pa.float64()))
@@ -110,22 +160,35 @@ def _narrow(matrix: np.ndarray) -> np.ndarray:
     return matrix.astype(kind)
 
 
-def _packed(rows: DataFrame, limit: int, width: int) -> DataFrame:
-    """leaf, ids, vectors, item bytes and k-th scores of blocks of at most ``limit`` rows of one leaf."""
+def _packed(rows: DataFrame, limit: int, width: int, below: bool = False) -> DataFrame:
+    """leaf, slot, ids, vectors, item bytes and k-th scores of blocks of at most ``limit`` rows of one leaf and slot.
 
-    def flush(leaf, parts):
+    ``below``: rows lie by ball, and the balls' sizes, centres' rows, radii and balls above come with them.
+    """
+    names = ["leaf", "slot", "ids", "vectors", "item", "low", "sizes", "centres", "radii", "above"]
+
+    def flush(place, parts):
         ids, vectors, low = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(ids, kind="stable")
+        tree = [b""] * 4
+        if below:
+            own, centre, radius, up = balls(vectors)
+            order = np.lexsort((ids, own))
+            at = np.empty(len(order), np.int32)
+            at[order] = np.arange(len(order))
+            tree = [np.bincount(own, minlength=len(centre)).astype(np.int32).tobytes(), at[centre].tobytes(), radius.tobytes(), up.tobytes()]
         matrix = _narrow(vectors[order])
-        return pa.RecordBatch.from_arrays([pa.array([leaf], pa.int32()), pa.array([ids[order].tobytes()]), pa.array([matrix.tobytes()]), pa.array([matrix.itemsize], pa.int32()), pa.array([low[order].tobytes()])], names=["leaf", "ids", "vectors", "item", "low"])
+        columns = [pa.array([place >> 32], pa.int32()), pa.array([place & 0xFFFFFFFF], pa.int32()), pa.array([ids[order].tobytes()]), pa.array([matrix.tobytes()]), pa.array([matrix.itemsize], pa.int32()), pa.array([low[order].tobytes()])]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array([x]) for x in tree)], names=names)
 
     def pack(batches):
         held: dict[int, list] = {}
         sizes: dict[int, int] = {}
         for batch in batches:
-            leaf, ids, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "vec_id", "low"))
+            leaf, slot, ids, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "slot", "vec_id", "low"))
+            leaf = leaf.astype(np.int64) << 32 | slot
             vectors = _matrix(batch.column("vec"), width)
-            for x in np.unique(leaf):
+            for x in np.unique(leaf).tolist():
                 at = np.flatnonzero(leaf == x)
                 for lo in range(0, len(at), limit):
                     part = at[lo : lo + limit]
@@ -137,55 +200,78 @@ def _packed(rows: DataFrame, limit: int, width: int) -> DataFrame:
         for x, parts in held.items():
             yield flush(x, parts)
 
-    return rows.select("leaf", "vec_id", "vec", "low").mapInArrow(pack, "leaf int, ids binary, vectors binary, item int, low binary")
+    schema = "leaf int, slot int, ids binary, vectors binary, item int, low binary, sizes binary, centres binary, radii binary, above binary"
+    return rows.select("leaf", "slot", "vec_id", "vec", "low").mapInArrow(pack, schema)
+
 
+def _scored(queries: DataFrame, data: DataFrame, pairs: DataFrame, k: int, width: int, seen=None) -> DataFrame:
+    """query_id, vec_id, score: of each pair of blocks, each query's k best that reach its k-th score so far.
 
-def _scored(queries: DataFrame, data: DataFrame, pairs: DataFrame, k: int, width: int) -> DataFrame:
-    """query_id, vec_id, score: of each pair of blocks, each query's k best that reach its k-th score so far."""
+    ``seen``: an accumulator of the (query, row) pairs multiplied.
+    """
+    kinds = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}
+
+    def best(qid, q, low, did, d):
+        """Rows of the k best of each query of a few."""
+        exact = float(np.abs(q).max(initial=0)) * float(np.abs(d).max(initial=0)) * width < 2**53
+        kind = np.float64 if exact else np.int64
+        score = q.astype(kind) @ d.T.astype(kind)
+        mine = qid[:, None] == did[None, :]
+        ranked = np.where(mine, -np.inf, score.astype(np.float64))
+        if len(did) > k:
+            low = np.maximum(low, np.partition(ranked, len(did) - k, axis=1)[:, len(did) - k])
+        i, j = np.nonzero((ranked >= low[:, None]) & ~mine)
+        s = score[i, j].astype(np.int64)
+        order = np.lexsort((did[j], -s, i))
+        i, j, s = i[order], j[order], s[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, np.arange(len(qid)))[i] < k
+        return qid[i[keep]], did[j[keep]], s[keep]
 
     def multiply(batches):
-        kinds = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}
         for batch in batches:
             for r in batch.to_pylist():
-                qid, did = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
+                qid, did, low = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_low"], np.float64)
                 q = np.frombuffer(r["q_vectors"], kinds[r["q_item"]]).reshape(-1, width)
                 d = np.frombuffer(r["vectors"], kinds[r["item"]]).reshape(-1, width)
-                low = np.frombuffer(r["q_low"], np.float64)
-                exact = float(np.abs(q).max(initial=0)) * float(np.abs(d).max(initial=0)) * width < 2**53
-                kind = np.float64 if exact else np.int64
-                for lo in range(0, len(qid), 128):
-                    score = q[lo : lo + 128].astype(kind) @ d.T.astype(kind)
-                    mine = qid[lo : lo + 128, None] == did[None, :]
-                    ranked = np.where(mine, -np.inf, score.astype(np.float64))
-                    least = low[lo : lo + 128]
-                    if len(did) > k:
-                        least = np.maximum(least, np.partition(ranked, len(did) - k, axis=1)[:, len(did) - k])
-                    i, j = np.nonzero((ranked >= least[:, None]) & ~mine)
-                    s = score[i, j].astype(np.int64)
-                    order = np.lexsort((did[j], -s, i))
-                    i, j, s = i[order], j[order], s[order]
-                    first = np.searchsorted(i, np.arange(len(least)))
-                    keep = np.arange(len(i)) - first[i] < k
-                    yield pa.RecordBatch.from_arrays([pa.array(qid[lo : lo + 128][i[keep]]), pa.array(did[j[keep]]), pa.array(s[keep])], names=["query_id", "vec_id", "score"])
+                size, centre, up = (np.frombuffer(r[c], np.int32) for c in ("sizes", "centres", "above"))
+                start, radius = np.cumsum(size) - size, np.frombuffer(r["radii"], np.float64)
+                middle, wide = d[centre].astype(np.float64), q.astype(np.float64)
+                # queries that point alike go together
+                alike = np.argsort((wide @ middle.T).argmax(1), kind="stable")
+                found = []
+                for lo in range(0, len(qid), TOGETHER):
+                    some = alike[lo : lo + TOGETHER]
+                    ball = needed(wide[some], low[some], middle, radius, up)
+                    at = np.repeat(start[ball], size[ball]) + np.arange(size[ball].sum()) - np.repeat(np.cumsum(size[ball]) - size[ball], size[ball])
+                    if seen is not None:
+                        seen.add(len(some) * len(at))
+                    if len(at):
+                        found.append(best(qid[some], q[some], low[some], did[at], d[at]))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["query_id", "vec_id", "score"])
 
     q = queries.select(F.col("leaf").alias("q_leaf"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("item").alias("q_item"), F.col("low").alias("q_low"))
-    both = q.join(F.broadcast(pairs), "q_leaf").join(data.drop("low"), "leaf").drop("leaf", "q_leaf")
+    both = q.join(F.broadcast(pairs), "q_leaf").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
+    both = both.join(data.drop("low"), ["leaf", "slot"]).drop("leaf", "slot", "q_leaf")
     return both.mapInArrow(multiply, "query_id long, vec_id long, score long")
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows: int = FIT_ROWS, leaves: int = LEAVES) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: each query row's k largest integer inner products with all other rows."""
+def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows: int = FIT_ROWS, leaves: tuple[int, int] = LEAVES, seen=None) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: each query row's k largest integer inner products with all other rows.
+
+    ``seen``: an accumulator of the (query, row) pairs that were multiplied.
+    """
     spark = vectors.sparkSession
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     finite = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("vec"))
     rows = saved(rows.groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
-    width = rows.agg(F.max(F.size("vec"))).first()[0] or 0
+    width, many = rows.agg(F.max(F.size("vec")), F.count("*")).first()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toArrow()
     if not sample.num_rows or not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    tree = fit(_matrix(sample.column("vec").combine_chunks(), width), leaves)
+    tree = fit(_matrix(sample.column("vec").combine_chunks(), width), min(max(many // LEAF_ROWS, leaves[0]), leaves[1]))
     shared = spark.sparkContext.broadcast(tree)
 
     def assign(batches):
@@ -204,10 +290,11 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
     for r in found:
         rd[r["leaf"]], count[r["leaf"]] = r["d"], r["n"]
         rq[r["leaf"]] = -1.0 if r["q"] is None else r["q"]
-    slots = F.create_map(*[x for i in range(n) for x in (F.lit(i), F.lit(int(count[i] // BLOCK) + 1))])
-    spread = placed.withColumn("slot", F.pmod(F.xxhash64("vec_id"), slots[F.col("leaf")]))
-    data = saved(_packed(spread.repartition(int(parts), "leaf", "slot"), BLOCK, width), "blocks")
-    asked = placed.where("is_query")
+    slots = (count // BLOCK).astype(int) + 1
+    held = F.array(*map(F.lit, slots.tolist()))
+    spread = placed.withColumn("slot", F.pmod(F.xxhash64("vec_id"), held[F.col("leaf")]).cast("int"))
+    data = saved(_packed(spread.repartition(int(parts), "leaf", "slot"), BLOCK, width, True), "blocks")
+    asked = placed.where("is_query").withColumn("slot", F.lit(0))
 
     seeds = []
     for q in np.flatnonzero(rq >= 0):
@@ -215,8 +302,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
         best = best[count[best] > 0]
         enough = int(np.searchsorted(np.cumsum(count[best]), k + 1)) + 1
         seeds += [(int(q), int(d)) for d in best[: max(SEEDS, enough)]]
-    pair_table = lambda pairs: spark.createDataFrame(pairs, "q_leaf int, leaf int")
-    first = saved(_scored(_packed(asked, QUERY_BLOCK, width), data, pair_table(seeds), k, width), "first")
+
+    def pair_table(pairs):
+        # at most the square of the leaves
+        q, d = np.array(pairs).T
+        return spark.createDataFrame(pa.table({"q_leaf": q.astype(np.int32), "leaf": d.astype(np.int32), "slots": slots[d].astype(np.int32)}))
+
+    first = saved(_scored(_packed(asked, QUERY_BLOCK, width), data, pair_table(seeds), k, width, seen), "first")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     first = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     kth = first.groupBy("query_id").agg(F.min("score").cast("double").alias("kth"), F.count("*").alias("n")).where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "kth")
@@ -227,7 +319,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
     left = sorted(set(survivors(tree, rq, rd, worst)) - set(seeds))
     out = first.drop("rank")
     if left:
-        out = out.unionByName(_scored(_packed(asked, QUERY_BLOCK, width), data, pair_table(left), k, width))
+        out = out.unionByName(_scored(_packed(asked, QUERY_BLOCK, width), data, pair_table(left), k, width, seen))
     out = out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -350,7 +350,7 @@ def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(0, 1, 6).round(1)]) for i in range(300)] + [(400, None), (401, [1.0, None]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, [1.0] * 6), (20, [float(x) for x in [9.0] * 6])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").where("not (vec_id = 20 and embedding[0] < 9)")
-    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=7, leaves=16).toPandas()
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=7, leaves=(16, 16)).toPandas()
     v = {i: np.floor(64 * np.array(x)).astype(int) for i, x in ((r.vec_id, r.embedding) for r in df.collect()) if i is not None and i < 400}
     for q in (i for i in v if i % 20 == 0):
         best = sorted(((-int(v[q] @ v[c]), c) for c in v if c != q))[:7]
@@ -360,6 +360,37 @@ def test_top_k(spark):
     assert few.count() == 1 and topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_the_tree_prunes(spark):
+    """Clustered vectors: few pairs of query and row are multiplied, and the results are those of brute force, hot vectors and ties included."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 3, (40, 16))
+    x = centres[rng.integers(0, 40, 6000)] + rng.normal(0, 0.1, (6000, 16))
+    x[:2000] = x[0]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5, seen=seen).toPandas().sort_values(["query_id", "rank"])
+    v = np.floor(64 * x).astype(np.int64)
+    for q, mine in got.groupby("query_id"):
+        score = v @ v[q]
+        score[q] = -(1 << 60)
+        order = np.lexsort((np.arange(len(v)), -score))[:5]
+        assert mine.vec_id.tolist() == order.tolist() and mine.score.tolist() == score[order].tolist()
+    assert got.query_id.nunique() == 300 and seen.value < 0.5 * 300 * 6000
+
+
+def test_balls():
+    """Every row lies within its ball, and a ball that no query needs holds no row of its k-th score."""
+    rng = np.random.default_rng(12)
+    x = np.repeat(rng.integers(-500, 500, (30, 8)), 10, 0) + rng.integers(-5, 5, (300, 8))
+    x = np.concatenate([x, np.repeat(x[:1], 200, 0)])
+    own, centre, radius, up = topk.balls(x)
+    assert (np.linalg.norm(x - x[centre[own]], axis=1) <= radius[own] + 1e-9).all() and len(np.unique(own)) == len(centre)
+    q = rng.integers(-500, 500, (4, 8))
+    low = np.sort(q @ x.T, axis=1)[:, -3].astype(float)
+    there = topk.needed(q.astype(float), low, x[centre].astype(float), radius, up)
+    assert set(own[((q @ x.T) >= low[:, None]).any(0)]) <= set(there) and len(there) < len(centre)
+
+
 def test_cascade(spark):
     listed = [f"k{i}" for i in range(0, 2000, 10)]
     universe = spark.createDataFrame([(f"k{i}",) for i in range(2000)], "key string")
