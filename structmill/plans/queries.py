@@ -525,10 +525,11 @@ def cliques(embeddings):
 
 @query("embeddings")
 def kabsch(embeddings):
-    """Discrepancy of neighbouring vectors, the first 12 numbers as four centres, frames all equal."""
-    rows = embeddings.select("vec_id", F.transform(F.slice("embedding", 1, 12), lambda x: x.cast("double")).alias("c"))
+    """Discrepancy of neighbouring vectors, padded with zeros to whole centres of three numbers, frames all equal."""
+    lacking = F.pmod(-F.size("embedding"), F.lit(3))
+    rows = embeddings.select("vec_id", F.concat(F.transform("embedding", lambda x: x.cast("double")), F.array_repeat(F.lit(0.0), lacking)).alias("c"))
     both = rows.join(rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("c").alias("c2")), "vec_id")
-    frames = F.flatten(F.array_repeat(F.array(*map(F.lit, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])), 4))
+    frames = F.flatten(F.array_repeat(F.array(*map(F.lit, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])), (F.size("c") / 3).cast("int")))
     return both.select("vec_id", geometry.discrepancy_of("c", frames, "c2", frames).alias("discrepancy"))
 
 
