@@ -8,7 +8,9 @@ window of words that holds the range of a high-level symbol holds that symbol in
 every occurrence.  Windows go to the task of the longest symbol that they hold
 (key), in runs, with a 64-bit hash of the whole window each; tasks compare (key,
 hash) and flag all but the first occurrence.  Windows that hold no symbol go by
-another hash of their own.
+another hash of their own.  A first pass counts the windows of each symbol; those
+of a symbol with a large share of all windows go by symbol and window hash, so no
+symbol is one task's work.
 
 Windows under one symbol are told apart by the 64 bits alone, as they share the
 key; of n of them about n^2 / 2^65 pairs match falsely.  Before the shuffle each slice of
@@ -23,6 +25,7 @@ at a later start); texts of fewer words than a window keep all.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,8 @@ ROUNDS = 2
 LONGEST = 8
 #: Flags (8 bytes for 31 windows) up to which their table is broadcast to the last pass; beyond, texts are shuffled.
 BROADCAST_CELLS = 4_000_000
+#: A symbol's windows are split when they are more than one in so many of a partition's share.
+SPLIT = 4
 _FAR = np.int64(1) << 40
 _SCHEMA = "key long, doc_id long, tid long, start int, subs binary, mask int"
 
@@ -141,7 +146,27 @@ def _flag_rows(doc_id, tid, pos, flagged):
     return doc_id[order[begin]], tid[order[begin]], (cell[begin] * 31).astype(np.int32), mask.astype(np.int32)
 
 
-def _sends(batches):
+def _busy(batches, share):
+    """key, n: symbols with at least that share of a slice's windows, and the slice's windows (key null)."""
+    for batch in batches:
+        for _, _, h, doc in W.words(batch.column("text"), False):
+            _, key, _ = anchors(h, doc)
+            names, n = np.unique(key, return_counts=True)
+            keep = n >= share * len(key)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *names[keep].view(np.int64)], pa.int64()), pa.array([len(key), *n[keep]], pa.int64())], names=["key", "n"])
+
+
+def busy_symbols(texts: DataFrame, parts: int) -> np.ndarray:
+    """Symbols with more than 1 / (SPLIT * parts) of all windows, and some with half of that; at most 2 * SPLIT * parts."""
+    share = 1 / (2 * SPLIT * parts)
+    # of a symbol's windows, those in slices where its share is lower are less than this share of all windows
+    counted = saved(texts.mapInArrow(partial(_busy, share=share), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "busy")
+    total = counted.where("key is null").agg(F.sum("n")).first()[0] or 0
+    found = counted.where(F.col("key").isNotNull() & (F.col("n") >= share * total)).collect()
+    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
+
+
+def _sends(batches, busy):
     """Windows by key, and the repeats found within a slice of documents."""
     for batch in batches:
         ids, tids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tid"))
@@ -149,6 +174,8 @@ def _sends(batches):
             at, key, sub = anchors(h, doc)
             if not len(at):
                 continue
+            with np.errstate(over="ignore"):
+                key = np.where(np.isin(key, busy), W.mix(key + sub, 402), key)
             begin = np.searchsorted(doc, np.arange(hi - lo))
             row = doc[at]
             pos = (at - begin[row]).astype(np.int64)
@@ -249,7 +276,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     last = F.lit((1 << 63) - 1)
     rows = short_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), F.xxhash64("text").alias("tid"), "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.where(F.length("text") >= 2 * WIDTH - 1).mapInArrow(_sends, _SCHEMA)
+    long_enough = rows.where(F.length("text") >= 2 * WIDTH - 1)
+    sent = long_enough.mapInArrow(partial(_sends, busy=busy_symbols(long_enough.select("text"), parts)), _SCHEMA)
     found = sent.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_compares, "doc_id long, tid long, start int, mask int")
     flags = saved(found.groupBy("doc_id", "tid").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 31).bitwiseOR(F.col("mask").cast("long"))).alias("cells")), "repeats")
     few = (flags.agg(F.sum(F.size("cells"))).first()[0] or 0) <= BROADCAST_CELLS

@@ -100,6 +100,33 @@ def test_unknown_words_score_lower(spark):
     assert all(got.score[ids["zz"]] < got.score[ids[w]] < 0 for w in "abcd")
 
 
+@pytest.mark.parametrize("d, strength, p, others", [(0.8, 2.0, 1e-3, 5), (0.8, 2.0, 1e-3, 20_000), (0.8, 2.0, 0.05, 2000), (0.7, 10.0, 1e-5, 60_000), (0.5, 2.0, 0.01, 300), (0.85, 2.0, 0.05, 20_000)])
+def test_seating_against_its_distribution(d, strength, p, others):
+    """Mean tables of one dish, against all table counts weighed by the Stirling numbers."""
+    stirling = pitman_yor.log_stirling(d, 2000)
+    for count in (2, 7, 200, 512, 513, 2000):
+        t = np.arange(1, count + 1)
+        weight = np.cumsum(np.log(strength + d * (others + t - 1))) + t * np.log(p) + stirling[count, 1 : count + 1]
+        weight = np.exp(weight - weight.max())
+        n = 8000
+        got = pitman_yor.seat(np.full(n, count), np.full(n, np.log(p)), strength, d, np.full(n, float(others)), np.random.default_rng(1))
+        limit = 1 + (strength / d + others + 1) * p / (1 - p)
+        near = count <= pitman_yor.EXACT or limit <= count**d
+        assert got.mean() == pytest.approx((t * weight).sum() / weight.sum(), rel=0.02 if near else 0.34), count
+        assert got.min() >= 1 and got.max() <= count
+
+
+def test_perplexity(spark):
+    docs = spark.createDataFrame([(i, "a b a c") for i in range(40)] + [(99, None)], "doc_id long, text string")
+    scored = pitman_yor.op1_pitman_yor(docs)
+    rows = scored.toPandas()
+    assert np.allclose(rows.perplexity, 10 ** (-rows.score / rows.n_tokens))
+    of = pitman_yor.perplexity(scored).toPandas().set_index("held_out")
+    for held, part in rows.groupby("held_out"):
+        assert of.perplexity[held] == pytest.approx(10 ** (-part.score.sum() / part.n_tokens.sum()))
+        assert of.perplexity[held] < of.base_perplexity[held]
+
+
 def near_components(rows, width, percent):
     sets = {}
     for i, text in rows:
@@ -431,6 +458,32 @@ def test_windows_of_one_symbol_are_told_apart(spark, pair):
     assert got.n_removed.tolist() == [0, 0]
 
 
+def removed_by_rule(texts, width=substrings.WIDTH):
+    """Words left of each text, by the rule itself."""
+    seen, left = set(), []
+    for w in (t.split() for t in texts):
+        gone = set()
+        for k in range(len(w) - width + 1):
+            window = tuple(w[k : k + width])
+            gone |= set(range(k, k + width)) if window in seen else set()
+            seen.add(window)
+        left.append(" ".join(x for k, x in enumerate(w) if k not in gone))
+    return left
+
+
+def test_windows_of_a_busy_symbol_are_split(spark):
+    """A phrase in every document, some of which repeat more than the phrase."""
+    rng = np.random.default_rng(4)
+    phrase = " ".join(f"p{k}" for k in range(12))
+    around = [[" ".join(f"x{v}" for v in rng.integers(0, 10_000, n)) for n in rng.integers(5, 40, 2)] for _ in range(400)]
+    texts = [f"{around[k][0]} {phrase} {around[k if k % 5 else k // 7][1]}" for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(substrings.busy_symbols(docs.select("text"), 4))
+    got = substrings.remove_repeats(docs).toPandas().sort_values("doc_id")
+    want = removed_by_rule(texts)
+    assert got.kept.tolist() == want and any(a != b for a, b in zip(texts, want))
+
+
 def test_phrases_and_proximity(spark):
     docs = spark.createDataFrame([(1, "x a b c d"), (2, "a z b c d"), (3, "d c b a")], "doc_id long, text string")
     phrases = spark.createDataFrame([(["a", "b", "c"],), (["d"],), (["q", "a"],)], "phrase array<string>")
