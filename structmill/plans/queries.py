@@ -483,44 +483,44 @@ def species_split(customer, nation):
     return resolve.split_species(rows, "g", "c_custkey", "l", "s").select("c_custkey", "g", "part")
 
 
-def _near(embeddings):
-    """Distances within blocks of vectors that share a label and a residue."""
-    rows = embeddings.select("vec_id", (F.col("label") * 100 + F.col("vec_id") % 12).alias("g"), "embedding")
-    both = rows.toDF("a", "g", "ea").join(rows.toDF("b", "g", "eb"), "g").where("a < b")
-    return both.select("g", "a", "b", geometry.euclidean(F.col("ea"), F.col("eb")).alias("distance"))
+def _near(orders):
+    """Distances of the orders of a customer: differences of their prices."""
+    rows = orders.select(F.col("o_custkey").alias("g"), "o_orderkey", cents("o_totalprice").alias("p"))
+    pairs = relational.pairs_within(rows, "g", "o_orderkey", ("p",))
+    return pairs.select("g", F.col("o_orderkey_1").alias("a"), F.col("o_orderkey_2").alias("b"), (F.abs(F.col("p_1") - F.col("p_2")) / 1e7).alias("distance"))
 
 
-DISTANCES = "v AS (SELECT vec_id, label * 100 + vec_id % 12 AS g, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), d AS (SELECT a.g, a.vec_id AS a, b.vec_id AS b, list_distance(a.e, b.e) AS d FROM v a JOIN v b ON a.g = b.g AND a.vec_id <> b.vec_id)"
+DISTANCES = "v AS (SELECT o_custkey AS g, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS p FROM orders), d AS (SELECT x.g, x.k AS a, y.k AS b, abs(x.p - y.p) / 1e7 AS d FROM v x JOIN v y ON x.g = y.g AND x.k <> y.k)"
 
 
-@query("embeddings", sql=f"WITH {DISTANCES}, s AS (SELECT g, a, round(sum(d), 6) AS s FROM d GROUP BY 1, 2) SELECT g, a AS item FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s, a) AS k FROM s) WHERE k = 1")
-def centroid(embeddings):
-    near = _near(embeddings)
+@query("orders", sql=f"WITH {DISTANCES}, s AS (SELECT g, a, round(sum(d), 6) AS s FROM d GROUP BY 1, 2) SELECT g, a AS item FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s, a) AS k FROM s) WHERE k = 1")
+def centroid(orders):
+    near = _near(orders)
     both = near.select("g", F.col("a").alias("item"), "distance").unionByName(near.select("g", F.col("b").alias("item"), "distance"))
     return agg.centroids(both, "g", "item", "distance")
 
 
-@query("embeddings", sql=f"WITH {DISTANCES} SELECT a AS item, g, round(max(d), 6) AS max_distance, round(avg(d), 6) AS mean_distance FROM d GROUP BY 1, 2")
-def item_to_group_distance(embeddings):
-    near = _near(embeddings)
+@query("orders", sql=f"WITH {DISTANCES} SELECT a AS item, g, round(max(d), 6) AS max_distance, round(avg(d), 6) AS mean_distance FROM d GROUP BY 1, 2")
+def item_to_group_distance(orders):
+    near = _near(orders)
     both = near.select("g", F.col("a").alias("item"), "distance").unionByName(near.select("g", F.col("b").alias("item"), "distance"))
     out = agg.distance_to_groups(both, "item", "g", "distance")
     return out.select("item", "g", F.round("max_distance", 6).alias("max_distance"), F.round("mean_distance", 6).alias("mean_distance"))
 
 
-@query("embeddings")
-def hierarchical(embeddings):
-    return clustering.cluster_groups(_near(embeddings), "g", 1.2)
+@query("orders")
+def hierarchical(orders):
+    return clustering.cluster_groups(_near(orders), "g", 0.01)
 
 
-@query("embeddings")
-def seriation(embeddings):
-    return clustering.order_groups(_near(embeddings), "g")
+@query("orders")
+def seriation(orders):
+    return clustering.order_groups(_near(orders), "g")
 
 
-@query("embeddings")
-def cliques(embeddings):
-    return clustering.clique_groups(_near(embeddings), "g", 1.2)
+@query("orders")
+def cliques(orders):
+    return clustering.clique_groups(_near(orders), "g", 0.01)
 
 
 @query("embeddings")
