@@ -484,13 +484,13 @@ def species_split(customer, nation):
 
 
 def _near(orders):
-    """Distances of the orders of a customer: differences of their prices."""
+    """Distances of the orders of a customer: differences of their prices in cents, whose sums are exact."""
     rows = orders.select(F.col("o_custkey").alias("g"), "o_orderkey", cents("o_totalprice").alias("p"))
     pairs = relational.pairs_within(rows, "g", "o_orderkey", ("p",))
-    return pairs.select("g", F.col("o_orderkey_1").alias("a"), F.col("o_orderkey_2").alias("b"), (F.abs(F.col("p_1") - F.col("p_2")) / 1e7).alias("distance"))
+    return pairs.select("g", F.col("o_orderkey_1").alias("a"), F.col("o_orderkey_2").alias("b"), F.abs(F.col("p_1") - F.col("p_2")).alias("distance"))
 
 
-DISTANCES = "v AS (SELECT o_custkey AS g, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS p FROM orders), d AS (SELECT x.g, x.k AS a, y.k AS b, abs(x.p - y.p) / 1e7 AS d FROM v x JOIN v y ON x.g = y.g AND x.k <> y.k)"
+DISTANCES = "v AS (SELECT o_custkey AS g, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS p FROM orders), d AS (SELECT x.g, x.k AS a, y.k AS b, abs(x.p - y.p) AS d FROM v x JOIN v y ON x.g = y.g AND x.k <> y.k)"
 
 
 @query("orders", sql=f"WITH {DISTANCES}, s AS (SELECT g, a, round(sum(d), 6) AS s FROM d GROUP BY 1, 2) SELECT g, a AS item FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s, a) AS k FROM s) WHERE k = 1")
@@ -510,7 +510,7 @@ def item_to_group_distance(orders):
 
 @query("orders")
 def hierarchical(orders):
-    return clustering.cluster_groups(_near(orders), "g", 0.01)
+    return clustering.cluster_groups(_near(orders), "g", 100_000)
 
 
 @query("orders")
@@ -520,7 +520,7 @@ def seriation(orders):
 
 @query("orders")
 def cliques(orders):
-    return clustering.clique_groups(_near(orders), "g", 0.01)
+    return clustering.clique_groups(_near(orders), "g", 100_000)
 
 
 @query("embeddings")
