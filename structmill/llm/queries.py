@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from structmill.llm import decontaminate, jaccard, mixing, pii, pitman_yor, quality, substrings, topk, toxicity, url_filter
+from structmill.llm import decontaminate, interactions, jaccard, mixing, pii, pitman_yor, quality, substrings, topk, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -24,5 +24,6 @@ QUERIES = {
     "op5_url_filter": _over(url_filter.op5_url_filter, "pages"),
     "op6_toxicity": _over(toxicity.op6_toxicity, "documents", "labels"),
     "op7_quality": _over(quality.op7_quality, "documents", "labels"),
+    "op13_interactions": _over(interactions.op13_interactions, "documents", "labels"),
 }
-ORACLES = {"op2_jaccard": jaccard.ORACLE, "op9_substrings": substrings.ORACLE, "op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE}
+ORACLES = {"op2_jaccard": jaccard.ORACLE, "op9_substrings": substrings.ORACLE, "op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE, "op13_interactions": interactions.ORACLE}
