@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from structmill.llm import decontaminate, divergence, interactions, jaccard, mixing, pii, pitman_yor, quality, substrings, topk, toxicity, url_filter
+from structmill.llm import decontaminate, divergence, interactions, jaccard, mixing, packing, pii, pitman_yor, quality, substrings, topk, toxicity, url_filter
 
 
 def _table(spark, sf_dir, name):
@@ -25,6 +25,7 @@ QUERIES = {
     "op6_toxicity": _over(toxicity.op6_toxicity, "documents", "labels"),
     "op7_quality": _over(quality.op7_quality, "documents", "labels"),
     "op11_divergence": _over(divergence.op11_divergence, "documents"),
+    "op12_packing": _over(packing.op12_packing, "documents"),
     "op13_interactions": _over(interactions.op13_interactions, "documents", "labels"),
 }
 ORACLES = {"op2_jaccard": jaccard.ORACLE, "op9_substrings": substrings.ORACLE, "op4_topk": topk.ORACLE, "op10_decontaminate": decontaminate.ORACLE, "op5_url_filter": url_filter.ORACLE, "op11_divergence": divergence.ORACLE, "op13_interactions": interactions.ORACLE}
