@@ -9,7 +9,8 @@ their root restaurants.  A sweep draws the table count of each (context, word)
 from its full conditional, by generalised Stirling numbers up to ``EXACT``
 customers, and by their limit for many customers beyond (means within 2 % as long
 as a pair's tables are not many more than its customers to the power of the
-discount, which a test holds; up to a third too many far beyond).  What other tasks
+discount, which a test holds; up to a third too many far beyond).  A draw depends on
+its word and context alone, not on the task that makes it.  What other tasks
 hold enters by the totals of tables per context as of the last exchange.  A
 task repeats earlier sweeps from their seeds, so no seating is stored.  Scores
 average the predictive probabilities of the samples at the exchanges, where all
@@ -42,8 +43,8 @@ SLICE_BYTES = 2 << 20
 EXACT = 512
 #: Weights of tables held at once.
 SEATED = 1 << 16
-#: Parts of the tokens for each shuffle partition of the session: a part is what a task holds at once.
-PARTS = 4
+#: Bytes of text whose tokens are one part: what a task holds at once.
+PART_BYTES = 8 << 20
 #: Documents whose sums a scoring task holds at once.
 SUMMED = 1 << 20
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 2.0, 10.0, 0.7
@@ -113,12 +114,11 @@ def _send(batches, parts, split):
             order = np.lexsort((doc, context, word, part))
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
             rows = []
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(cuts)).tolist():
                 at = order[cuts[p] : cuts[p + 1]]
-                if len(at):
-                    w = word[at]
-                    first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-                    rows.append((p, _pack([w[first], np.diff(np.append(first, len(w))).astype(np.uint32), context[at], marked[at], np.array([hi - lo], np.int32)])))
+                w = word[at]
+                first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+                rows.append((p, _pack([w[first], np.diff(np.append(first, len(w))).astype(np.uint32), context[at], marked[at], np.array([hi - lo], np.int32)])))
             n = len(rows)
             counts = np.bincount(doc, minlength=hi - lo).astype(np.uint32)
             some = ids.slice(lo, hi - lo)
@@ -133,32 +133,41 @@ _PART = (np.uint64, np.uint32, np.uint16, np.uint32, np.uint16, np.int64, np.int
 
 
 def _merge(batches):
-    """One row per part, its tokens sorted by word and context (kind 0), besides the documents' rows (kind 1)."""
-    got: dict[int, list] = {}
+    """One row per part, its tokens sorted by word and context (kind 0), besides the documents' rows (kind 1); rows come sorted by part."""
+    part, sent = None, []
     for batch in batches:
         other = [i for i, x in enumerate(batch.column("kind").to_pylist()) if x]
         if other:
             yield batch.take(pa.array(other))
         for r in batch.to_pylist():
             if not r["kind"]:
-                got.setdefault(r["part"], []).append((r["bid"], r["blob"]))
-    for part, sent in got.items():
-        sent.sort()
-        bids = np.array([b for b, _ in sent], np.int64)
-        words, counts, contexts, docs, many = zip(*(_unpack(b, _SENT) for _, b in sent))
-        distinct, index = np.unique(np.concatenate(words), return_inverse=True)
-        token = np.repeat(index.astype(np.uint32), np.concatenate(counts))
-        del words, counts, index
-        source = np.repeat(np.arange(len(bids), dtype=np.uint32), [len(c) for c in contexts])
-        contexts, docs = np.concatenate(contexts), np.concatenate(docs)
-        sizes = np.bincount(token, minlength=len(distinct)).astype(np.uint32)
-        key = token.astype(np.uint64) << np.uint64(16) | contexts
-        del token
-        order = np.argsort(key, kind="stable").astype(np.uint32)
-        del key
-        blob = _pack([distinct, sizes, contexts[order], source[order], docs[order], bids, np.concatenate(many)])
-        del order, source, contexts, docs
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int32()), pa.array([blob])], names=["part", "bid", "kind", "blob"])
+                if sent and r["part"] != part:
+                    yield _part(part, sent)
+                    sent = []
+                part = r["part"]
+                sent.append((r["bid"], r["blob"]))
+    if sent:
+        yield _part(part, sent)
+
+
+def _part(part: int, sent: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    """The row of one part, from what the slices have sent."""
+    sent.sort()
+    bids = np.array([b for b, _ in sent], np.int64)
+    words, counts, contexts, docs, many = zip(*(_unpack(b, _SENT) for _, b in sent))
+    distinct, index = np.unique(np.concatenate(words), return_inverse=True)
+    token = np.repeat(index.astype(np.uint32), np.concatenate(counts))
+    del words, counts, index
+    source = np.repeat(np.arange(len(bids), dtype=np.uint32), [len(c) for c in contexts])
+    contexts, docs = np.concatenate(contexts), np.concatenate(docs)
+    sizes = np.bincount(token, minlength=len(distinct)).astype(np.uint32)
+    key = token.astype(np.uint64) << np.uint64(16) | contexts
+    del token
+    order = np.argsort(key, kind="stable").astype(np.uint32)
+    del key
+    blob = _pack([distinct, sizes, contexts[order], source[order], docs[order], bids, np.concatenate(many)])
+    del order, source, contexts, docs
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int32()), pa.array([blob])], names=["part", "bid", "kind", "blob"])
 
 
 class Part:
@@ -176,8 +185,10 @@ class Part:
         self.split = np.searchsorted(split, self.words).clip(max=max(len(split) - 1, 0)) if len(split) else np.zeros(len(self.words), int)
         self.is_split = split[self.split] == self.words if len(split) else np.zeros(len(self.words), bool)
         self.seen = np.flatnonzero(self.count)
+        #: Each pair's own draws, wherever it is held.
+        self.draws = W.mix(self.words[self.word] ^ W.mix(self.context.astype(np.uint64), 603), 604)
 
-    def sample(self, stage: int, part: int, totals: list[dict]):
+    def sample(self, stage: int, totals: list[dict]):
         """Table counts of the seen pairs and of the words' root restaurants after stages 0 .. ``stage``; stage 0 is one table a pair."""
         count, word, context = self.count[self.seen], self.word[self.seen], self.context[self.seen]
         tables = np.ones(len(self.seen), np.int64)
@@ -187,15 +198,14 @@ class Part:
             g = totals[s]
             others = g["tables"][context] - tables
             for sweep in range(SWEEPS[s]):
-                rng = np.random.default_rng((part, s, sweep))
                 customers = np.bincount(word, tables, len(self.words))
                 p = root_probability(customers, root, g)
                 p[self.is_split] = g["split_p"][self.split[self.is_split]]
-                tables = seat(count, np.log(p[word]), STRENGTH, g["discount"], others, rng)
+                tables = seat(count, np.log(p[word]), STRENGTH, g["discount"], others, self.draws[self.seen] ^ W.mix(np.full(1, sweep), 700 + s))
                 customers = np.bincount(word, tables, len(self.words)).astype(np.int64)
                 own = np.flatnonzero(customers)
                 root = np.zeros(len(self.words), np.int64)
-                root[own] = seat(customers[own], np.full(len(own), -np.log(g["V"] + 1)), ROOT_STRENGTH, ROOT_DISCOUNT, np.full(len(own), float(g["root_tables"])), rng)
+                root[own] = seat(customers[own], np.full(len(own), -np.log(g["V"] + 1)), ROOT_STRENGTH, ROOT_DISCOUNT, np.full(len(own), float(g["root_tables"])), self.words[own] ^ W.mix(np.full(1, sweep), 800 + s))
             yield tables, root
 
 
@@ -216,23 +226,26 @@ def log_stirling(d: float, n: int) -> np.ndarray:
     return out
 
 
-def seat(count, log_p, strength, d, others, rng) -> np.ndarray:
-    """Table counts drawn for dishes of ``count`` customers and parent probability exp(log_p), with ``others`` tables beside theirs."""
+def seat(count, log_p, strength, d, others, keys) -> np.ndarray:
+    """Table counts drawn for dishes of ``count`` customers and parent probability exp(log_p), with ``others`` tables beside theirs; each draw depends on its 64-bit key alone."""
     tables = np.ones(len(count), np.int64)
     order = np.argsort(count, kind="stable")
     ends = np.searchsorted(count[order], np.arange(EXACT + 2))
     table = log_stirling(d, EXACT)
+    keys = W.mix(keys, 605)
+    uniform = (keys >> np.uint64(11)) * 2.0**-53
     for c in range(2, EXACT + 1):
         t = np.arange(1, c + 1)
         for lo in range(ends[c], ends[c + 1], SEATED // c):
             at = order[lo : min(lo + SEATED // c, ends[c + 1])]
             weight = np.cumsum(np.log(strength + d * (others[at, None] + t - 1)), axis=1) + t * log_p[at, None] + table[c, 1 : c + 1]
             weight = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
-            tables[at] = 1 + (weight < rng.random(len(at))[:, None] * weight[:, -1:]).sum(1).clip(max=c - 1)
+            tables[at] = 1 + (weight < uniform[at, None] * weight[:, -1:]).sum(1).clip(max=c - 1)
     at = order[ends[EXACT + 1] :]
     # the limit of these weights for many customers: all tables but one are negative binomial
     p = np.exp(log_p[at]).clip(max=1 - 1e-9)
-    tables[at] = np.minimum(1 + rng.negative_binomial(strength / d + others[at] + 1, 1 - p), count[at])
+    draws = [np.random.default_rng(k).negative_binomial(n, q) for k, n, q in zip(keys[at].tolist(), strength / d + others[at] + 1, 1 - p)]
+    tables[at] = np.minimum(1 + np.array(draws, np.int64), count[at])
     return tables
 
 
@@ -244,7 +257,7 @@ def _totals(batches, stage, shared):
     for batch in batches:
         for i in range(batch.num_rows):
             part = Part(batch.column("blob")[i].as_buffer(), split)
-            for tables, root in part.sample(stage, batch.column("part")[i].as_py(), totals):
+            for tables, root in part.sample(stage, totals):
                 pass
             seen = part.seen
             by_context = np.bincount(part.context[seen], tables, size)
@@ -283,7 +296,7 @@ def _exchange(parts: DataFrame, stage: int, split, shared, before: dict | None)
     root = np.minimum(hot, 1)
     if before and len(split):
         own = hot > 0
-        root[own] = seat(hot[own], np.full(own.sum(), -np.log(g["V"] + 1)), ROOT_STRENGTH, ROOT_DISCOUNT, np.full(own.sum(), g["root_tables"]), np.random.default_rng((stage, 99)))
+        root[own] = seat(hot[own], np.full(own.sum(), -np.log(g["V"] + 1)), ROOT_STRENGTH, ROOT_DISCOUNT, np.full(own.sum(), g["root_tables"]), split[own] ^ W.mix(np.zeros(1), 800 + stage))
     g["root_tables"] += root.sum()
     g["split_p"] = root_probability(hot, root, g)
     return g
@@ -298,7 +311,7 @@ def _scores(batches, shared):
         for row in range(batch.num_rows):
             part = Part(batch.column("blob")[row].as_buffer(), split)
             mean = np.zeros(len(part.word))
-            for s, (tables, root) in enumerate(part.sample(len(SWEEPS), batch.column("part")[row].as_py(), totals[:-1])):
+            for s, (tables, root) in enumerate(part.sample(len(SWEEPS), totals[:-1])):
                 if s:
                     g = totals[s]
                     customers = np.bincount(part.word[part.seen], tables, len(part.words))
@@ -333,11 +346,11 @@ def _summed(sums: dict[int, list]) -> pa.RecordBatch:
     blobs = []
     for known, base, score in sums.values():
         at = np.flatnonzero(score)
-        blobs.append(_pack([at.astype(np.uint16), known[at].astype(np.uint32), base[at], score[at].astype(np.float32), np.array([len(score)], np.int32)]))
+        blobs.append(_pack([at.astype(np.uint16), known[at].astype(np.uint32), base[at], score[at], np.array([len(score)], np.int32)]))
     return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(blobs, pa.binary())], names=["bid", "blob"])
 
 
-_SUMS = (np.uint16, np.uint32, np.float64, np.float32, np.int32)
+_SUMS = (np.uint16, np.uint32, np.float64, np.float64, np.int32)
 
 
 def _finish(batches, N, V):
@@ -370,7 +383,8 @@ def _finish(batches, N, V):
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) * PARTS
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(1, -(-size // PART_BYTES))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % MODULUS == HELD, F.lit(False))
     rows = short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"))
     common = rows.select("text").mapInArrow(partial(_common, share=1 / (8 * tasks)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -378,7 +392,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     total = common.where("word = 0").agg(F.sum("n")).first()[0] or 0
     split = np.sort(np.array([r["word"] for r in common.where((F.col("word") != 0) & (F.col("n") >= total / (4 * tasks))).collect()], np.int64).view(np.uint64))
     sent = rows.mapInArrow(partial(_send, parts=tasks, split=split), "part int, bid long, kind int, blob binary")
-    stored = saved(sent.repartition(tasks, "part").mapInArrow(_merge, "part int, bid long, kind int, blob binary"), "tokens")
+    stored = saved(sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_merge, "part int, bid long, kind int, blob binary"), "tokens")
     parts, meta = stored.where("kind = 0").select("part", "blob"), stored.where("kind = 1")
     totals: list[dict] = []
     sc = spark.sparkContext
@@ -389,7 +403,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     # few scoring tasks, as each sends a row of sums for each slice of documents
     sums = parts.coalesce(max(1, tasks // 8)).mapInArrow(partial(_scores, shared=shared), "bid long, blob binary").withColumn("kind", F.lit(0))
     last = totals[-1]
-    both = sums.unionByName(meta.select("bid", "blob", "kind")).repartition(tasks * 3 // 8, "bid").sortWithinPartitions("bid")
+    both = sums.unionByName(meta.select("bid", "blob", "kind")).repartition(-(-tasks * 3 // 8), "bid").sortWithinPartitions("bid")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return both.mapInArrow(partial(_finish, N=last["N"], V=last["V"]), schema).withColumn("train_tokens", F.lit(int(last["N"])).cast("long"))
 

@@ -109,13 +109,24 @@ def test_seating_against_its_distribution(d, strength, p, others):
         weight = np.cumsum(np.log(strength + d * (others + t - 1))) + t * np.log(p) + stirling[count, 1 : count + 1]
         weight = np.exp(weight - weight.max())
         n = 8000
-        got = pitman_yor.seat(np.full(n, count), np.full(n, np.log(p)), strength, d, np.full(n, float(others)), np.random.default_rng(1))
+        got = pitman_yor.seat(np.full(n, count), np.full(n, np.log(p)), strength, d, np.full(n, float(others)), np.arange(n, dtype=np.uint64))
         limit = 1 + (strength / d + others + 1) * p / (1 - p)
         near = count <= pitman_yor.EXACT or limit <= count**d
         assert got.mean() == pytest.approx((t * weight).sum() / weight.sum(), rel=0.02 if near else 0.34), count
         assert got.min() >= 1 and got.max() <= count
 
 
+def test_scores_do_not_depend_on_tasks(spark, documents, monkeypatch):
+    """Neither on the shuffle's partitions nor on the parts, as each pair has draws of its own (words in no part's list of split ones)."""
+    first = pitman_yor.op1_pitman_yor(documents).toPandas().set_index("doc_id").score.sort_index()
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        again = pitman_yor.op1_pitman_yor(documents.repartition(5)).toPandas().set_index("doc_id").score.sort_index()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert np.allclose(first, again, rtol=1e-9)
+
+
 def test_perplexity(spark):
     docs = spark.createDataFrame([(i, "a b a c") for i in range(40)] + [(99, None)], "doc_id long, text string")
     scored = pitman_yor.op1_pitman_yor(docs)
