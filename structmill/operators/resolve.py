@@ -44,7 +44,7 @@ def acceptable_discrepancy(valid_1: Column, valid_2: Column, known_1: Column, di
 
 def valid_chain(length: Column, method: Column, resolution: Column) -> Column:
     """Long enough to compare, and well enough resolved (solution structures have no resolution)."""
-    return (length >= 3) & (method.contains("NMR") | F.coalesce(resolution <= MAX_RESOLUTION, F.lit(False)))
+    return F.coalesce(length >= 3, F.lit(False)) & (F.coalesce(method == "SOLUTION NMR", F.lit(False)) | F.coalesce(resolution <= MAX_RESOLUTION, F.lit(False)))
 
 
 def split_species(members: DataFrame, group: str, item: str, length: str, species: str) -> DataFrame:
