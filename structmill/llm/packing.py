@@ -7,8 +7,8 @@ islands evolve packings of each cell, each in its own row of a Spark table:
 crossover injects whole well-filled bins of one parent into the other, bins that
 hold a piece twice go, and their displaced pieces are placed by best fit, longest
 first.  Between epochs the best packing of each island migrates to the next one
-by a join, and cells that have reached a lower bound of their number of bins
-leave.  Each cell then gives up its least filled bin; what they held is dealt into
+by a join; cells that have reached a lower bound of their number of bins, or that
+an epoch has not helped, leave.  Each cell then gives up its least filled bin; what they held is dealt into
 fewer cells and packed again, until one cell is left.
 
 A cell's pieces, and the packings of one island of one cell, are what a task holds
@@ -37,6 +37,8 @@ from tokenizers import Tokenizer
 from structmill.llm.shared import discard, saved, short_batches
 
 CAPACITY, END = 1024, 2
+#: Bins of a child that exchange pieces with the displaced ones, drawn anew for each child.
+TRIED = 100
 CELL, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 1000, 3, 3, 6, 4
 
 
@@ -71,7 +73,7 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or any(a in text for a in self.added):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(self.fast.encode_ordinary(text), np.uint32)
 
 
 encoder = lru_cache(2)(Encoder)
@@ -162,7 +164,9 @@ def cross(into: np.ndarray, donor: np.ndarray, lengths: np.ndarray, capacity: in
     held[child] = True
     held[: len(spoilt)] &= ~spoilt
     loose, sizes, room, out = np.flatnonzero(held & (room > 0)), lengths.tolist(), room.tolist(), child.tolist()
-    displaced = exchange(displaced, np.flatnonzero(~(~injected & spoilt[into]) & np.isin(child, loose)).tolist(), sizes, out, room)
+    tried = np.zeros(len(room), bool)
+    tried[rng.permutation(loose)[:TRIED]] = True
+    displaced = exchange(displaced, np.flatnonzero((injected | ~spoilt[into]) & tried[child]).tolist(), sizes, out, room)
     best_fit(displaced, sizes, capacity, out, sorted((room[b], b) for b in loose.tolist() if room[b] > 0), len(room))
     return _dense(out)
 
@@ -220,7 +224,7 @@ def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, bou
     return [p for _, _, p in ranked]
 
 
-_ISLANDS = "cell long, island int, bins int, bound int, elite binary, population binary"
+_ISLANDS = "cell long, island int, bins int, bound int, before int, elite binary, population binary"
 
 
 def _islands(batches: Iterator[pa.RecordBatch], epoch: int, capacity: int) -> Iterator[pa.RecordBatch]:
@@ -238,10 +242,11 @@ def _islands(batches: Iterator[pa.RecordBatch], epoch: int, capacity: int) -> It
                 population = list(np.frombuffer(r["population"], np.int32).reshape(-1, len(lengths)))
                 if len(population) > 1:  # the migrant replaces the worst
                     population[-1] = np.frombuffer(r["migrant"], np.int32)
+            before = min(int(p.max()) + 1 for p in population)
             population = evolve(lengths, population, capacity, bound, rng) if len(population) > 1 else population
-            columns = [[r["cell"]], [r["island"]], [int(population[0].max()) + 1], [bound], [population[0].tobytes()], [np.concatenate(population).tobytes()]]
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cell", "island", "bins", "bound", "elite", "population"])
+            columns = [[r["cell"]], [r["island"]], [int(population[0].max()) + 1], [bound], [before], [population[0].tobytes()], [np.concatenate(population).tobytes()]]
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["cell", "island", "bins", "bound", "before", "elite", "population"])
 
 
 def _places(batches: Iterator[pa.RecordBatch], capacity: int, release: bool) -> Iterator[pa.RecordBatch]:
@@ -273,7 +278,9 @@ def _pack_cells(items: DataFrame, cells: int, capacity: int, release: bool, seed
     for epoch in range(EPOCHS):
         state = saved(start.repartition("cell", "island").mapInArrow(partial(_islands, epoch=epoch, capacity=capacity), _ISLANDS), "islands")
         epochs.append(state.withColumn("epoch", F.lit(epoch)))
-        going = state.groupBy("cell").agg(F.min("bins").alias("bins"), F.max("bound").alias("bound")).where("bins > bound").select("cell")
+        # a cell goes on while it is above its bound and still gains
+        now = state.groupBy("cell").agg(F.min("bins").alias("bins"), F.max("bound").alias("bound"), F.min("before").alias("before"))
+        going = now.where("bins > bound AND bins < before").select("cell")
         if epoch + 1 == EPOCHS or going.isEmpty():
             break
         migrants = state.select("cell", ((F.col("island") + 1) % ISLANDS).cast("int").alias("island"), F.col("elite").alias("migrant"))
