@@ -44,7 +44,7 @@ EXACT = 512
 #: Weights of tables held at once.
 SEATED = 1 << 16
 #: Bytes of text whose tokens are one part: what a task holds at once.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 #: Documents whose sums a scoring task holds at once.
 SUMMED = 1 << 20
 STRENGTH, ROOT_STRENGTH, ROOT_DISCOUNT = 2.0, 10.0, 0.7

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from structmill.shared import discard, folder, saved, small
 
 __all__ = ["discard", "folder", "keyed_rows", "saved", "short_batches", "small"]
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of Arrow batches, Spark's defaults, and what texts are given instead: rows and bytes.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16m")}
 
 
-def short_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``; its session, unless it has a setting of its own, makes Arrow batches of at most ``rows`` rows from now on, as texts are long."""
-    if df.sparkSession.conf.get(_BATCH) == "10000":
-        df.sparkSession.conf.set(_BATCH, str(rows))
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session, where it has no settings of its own, makes Arrow batches of at most 1000 rows and 16 MB (or one longer row) from now on, as texts are long."""
+    for name, (default, instead) in _BATCHES.items():
+        if df.sparkSession.conf.get(name) == default:
+            df.sparkSession.conf.set(name, instead)
     return df
 
 
