@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from structmill.functions import geometry, ids, sequences
 from structmill.operators import aggregates as agg
-from structmill.operators import clustering, lineage, quality, relational, resolve, windows
+from structmill.operators import clustering, lineage, quality, relational, resolve, superposition, windows
 from structmill.operators.components import connected_components
 from structmill.shared import saved
 
@@ -530,7 +530,7 @@ def kabsch(embeddings):
     rows = embeddings.select("vec_id", F.concat(F.transform("embedding", lambda x: x.cast("double")), F.array_repeat(F.lit(0.0), lacking)).alias("c"))
     both = rows.join(rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("c").alias("c2")), "vec_id")
     frames = F.flatten(F.array_repeat(F.array(*map(F.lit, [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0])), (F.size("c") / 3).cast("int")))
-    return both.select("vec_id", geometry.discrepancy_of("c", frames, "c2", frames).alias("discrepancy"))
+    return both.select("vec_id", superposition.discrepancy_within(flips=False)("c", frames, "c2", frames)["discrepancy"].alias("discrepancy"))
 
 
 @query("events", sql="""
