@@ -1,15 +1,30 @@
-"""Clustering kernels over distance tables, one group at a time.
+"""Clustering, cliques and orders over distance tables, one group at a time.
 
 Each kernel takes rows group, a, b, distance and works on the matrix of one
-group (a connected component or class, small by construction: callers group by
-components first).  Missing and negative distances count as the group's largest.
+group, in one row of a Spark table: memory is the square of a group's items, so
+groups are meant to be classes of some thousands at most.  With a cutoff, what
+is farther apart than the cutoff never shares a cluster or clique: groups are
+first parted into connected components, and a task holds one component.
+Missing and negative distances count as the group's largest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from structmill.operators.components import connected_components
+from structmill.shared import saved
+
+#: Heights that stand for "forced apart"; two tight groups of some size stay apart where a merge's height and nearest pair are both large and alike.
+FORCED_HEIGHT, SOME_SIZE, LARGE_GAP, ALIKE, TIGHT = 10.0, 3, 0.6, 0.2, 0.4
+CLIQUE_RATIO = 0.9
 
 
 def matrix(rows: pd.DataFrame, directed: bool = False) -> tuple[list, np.ndarray]:
@@ -29,23 +44,45 @@ def matrix(rows: pd.DataFrame, directed: bool = False) -> tuple[list, np.ndarray
 def average_linkage(d: np.ndarray, cutoff: float = np.inf) -> list[tuple[int, int, float]]:
     """Merges (i, j, height) by average linkage up to the cutoff; merged clusters take numbers from n on."""
     n = len(d)
-    live = {i: [i] for i in range(n)}
-    means = {(i, j): d[i, j] for i in range(n) for j in range(i + 1, n)}
-    out = []
-    while len(live) > 1:
-        (i, j), height = min(means.items(), key=lambda kv: (kv[1], kv[0]))
-        if height > cutoff:
+    number, size = np.arange(n), np.ones(n)
+    mean = np.where(np.eye(n, dtype=bool), np.inf, d).astype(float)
+    out: list[tuple[int, int, float]] = []
+    for k in range(n - 1):
+        # of equal heights the clusters of smallest numbers
+        at = np.argwhere(mean == mean.min())
+        i, j = min((tuple(sorted((int(number[a]), int(number[b])))) + (int(a), int(b)) for a, b in at))[2:]
+        if number[i] > number[j]:
+            i, j = j, i
+        if mean[i, j] > cutoff:
             break
-        new = n + len(out)
-        out.append((i, j, float(height)))
-        a, b = live.pop(i), live.pop(j)
-        means = {k: v for k, v in means.items() if not {i, j} & set(k)}
-        for k, members in live.items():
-            means[(k, new)] = float(d[np.ix_(a + b, members)].mean())
-        live[new] = a + b
+        out.append((int(number[i]), int(number[j]), float(mean[i, j])))
+        joined = (mean[i] * size[i] + mean[j] * size[j]) / (size[i] + size[j])
+        size[i] += size[j]
+        mean[i], mean[:, i] = joined, joined
+        mean[i, i] = np.inf
+        mean[j], mean[:, j] = np.inf, np.inf
+        number[i], number[j] = n + k, 2 * n + k
     return out
 
 
+def guarded_clusters(d: np.ndarray) -> list[list[int]]:
+    """Clusters of the average-linkage tree whose merges may be refused; a refused merge leaves both sides as they are, and all merges above it fall away."""
+    n = len(d)
+    members = {i: [i] for i in range(n)}
+    for k, (i, j, height) in enumerate(average_linkage(d)):
+        a, b = members[i], members[j]
+        if not a or not b or height >= FORCED_HEIGHT:
+            members[n + k] = []
+            continue
+        nearest = d[np.ix_(a, b)].min()
+        apart = min(len(a), len(b)) >= SOME_SIZE and height > LARGE_GAP and nearest > LARGE_GAP and abs(height - nearest) < ALIKE
+        if apart and d[np.ix_(a, a)].max() < TIGHT and d[np.ix_(b, b)].max() < TIGHT:
+            members[n + k] = []
+            continue
+        members[n + k], members[i], members[j] = a + b, [], []
+    return sorted((sorted(g) for g in members.values() if g), key=lambda g: (-len(g), g))
+
+
 def clusters(merges: list[tuple[int, int, float]], n: int) -> np.ndarray:
     """Cluster number of each item, by smallest item."""
     root = list(range(n + len(merges)))
@@ -91,6 +128,127 @@ def insertion_order(d: np.ndarray) -> list[int]:
     return path if path[0] <= path[-1] else path[::-1]
 
 
+def tree_penalty(d: np.ndarray) -> np.ndarray:
+    """Height of the tree's merge that joins two items, scaled to the mean distance."""
+    n = len(d)
+    out, members = np.zeros((n, n)), {i: [i] for i in range(n)}
+    for k, (i, j, height) in enumerate(average_linkage(d)):
+        a, b = members.pop(i), members.pop(j)
+        out[np.ix_(a, b)], out[np.ix_(b, a)] = height, height
+        members[n + k] = a + b
+    return out * d.mean() / max(1e-8, out.mean())
+
+
+def inserted_path(d: np.ndarray, order: np.ndarray) -> tuple[list[int], float]:
+    """Items in ``order``, each put where the path grows least: of equal places the front, then the end, then the first."""
+    path = [int(x) for x in order[:2]]
+    length = float(d[path[0], path[1]])
+    for x in map(int, order[2:]):
+        at = np.array(path)
+        growth = np.concatenate([[d[x, at[0]], d[at[-1], x]], d[at[:-1], x] + d[x, at[1:]] - d[at[:-1], at[1:]]])
+        best = int(growth.argmin())
+        length += float(growth[best])
+        path.insert(0 if best == 0 else len(path) if best == 1 else best - 1, x)
+    return path, length
+
+
+def oriented(d: np.ndarray, path: list[int]) -> list[int]:
+    """The path or its reverse, so that its first third holds the smaller distances."""
+    n = len(path)
+    if n <= 2:
+        return path
+    m = {3: 2, 4: 3, 5: 3, 6: 4}.get(n, -(-n // 3) + 1)
+    ends = [np.triu(d[np.ix_(some, some)], 1).sum() for some in (path[:m], path[::-1][:m])]
+    return path[::-1] if ends[0] > ends[1] else path
+
+
+def penalised_order(d: np.ndarray, repetitions: int = 100, seed: int = 1) -> list[int]:
+    """The shortest of many greedily inserted paths over distances plus the tree's penalty, oriented."""
+    n = len(d)
+    if n <= 2:
+        return list(range(n))
+    rng, costs = np.random.default_rng(seed), d + tree_penalty(d)
+    path, _ = min((inserted_path(costs, rng.permutation(n)) for _ in range(repetitions)), key=lambda p: p[1])
+    return oriented(d, path)
+
+
+def optimal_leaf_order(d: np.ndarray) -> list[int]:
+    """Of all turns of the average-linkage tree's subtrees, the order of leaves whose path is shortest; oriented.
+
+    For each subtree the least path between each two of its outer leaves is kept: the cube of the items in time, their square in memory, exact at any size.
+    """
+    n = len(d)
+    if n <= 2:
+        return list(range(n))
+    leaves = {i: np.array([i]) for i in range(n)}
+    cost = np.full((n, n), np.inf)
+    np.fill_diagonal(cost, 0.0)
+    # the leaves that meet inside the path from u to w, u's first
+    near, far = np.zeros((n, n), np.int32), np.zeros((n, n), np.int32)
+    for k, (i, j, _) in enumerate(average_linkage(d)):
+        a, b = leaves.pop(i), leaves.pop(j)
+        inside_a, inside_b = cost[np.ix_(a, a)], cost[np.ix_(b, b)]
+        reach, by = np.empty((len(a), len(b))), np.empty((len(a), len(b)), int)
+        for q, y in enumerate(b):
+            over = inside_a + d[a, y]
+            by[:, q] = over.argmin(1)
+            reach[:, q] = over[np.arange(len(a)), by[:, q]]
+        for p, u in enumerate(a):
+            over = reach[p][:, None] + inside_b
+            into = over.argmin(0)
+            cost[u, b] = cost[b, u] = over[into, np.arange(len(b))]
+            near[u, b], far[u, b] = a[by[p, into]], b[into]
+            near[b, u], far[b, u] = far[u, b], near[u, b]
+        # a path through both ends in both
+        cost[np.ix_(a, a)], cost[np.ix_(b, b)] = np.inf, np.inf
+        leaves[n + k] = np.concatenate([a, b])
+    ends = np.where(np.isin(np.arange(n), a)[:, None] & np.isin(np.arange(n), b)[None], cost, np.inf)
+    path: list[int] = []
+    stack = [tuple(map(int, np.unravel_index(ends.argmin(), ends.shape)))]
+    while stack:
+        u, w = stack.pop()
+        if u == w:
+            path.append(u)
+        else:
+            stack += [(int(far[u, w]), w), (u, int(near[u, w]))]
+    return oriented(d, path)
+
+
+def all_cliques(linked: np.ndarray) -> list[list[int]]:
+    """All maximal cliques, by sets with a pivot of most neighbours; as many as the graph has, which can be exponential in its items."""
+    near = [set(np.flatnonzero(row).tolist()) - {i} for i, row in enumerate(linked)]
+    out, stack = [], [(set(), set(range(len(near))), set())]
+    while stack:
+        clique, some, done = stack.pop()
+        if not some and not done:
+            out.append(sorted(clique))
+            continue
+        pivot = max(some | done, key=lambda v: (len(some & near[v]), -v))
+        for v in sorted(some - near[pivot]):
+            stack.append((clique | {v}, some & near[v], done & near[v]))
+            some, done = some - {v}, done | {v}
+    return sorted(out)
+
+
+def tight_cliques(linked: np.ndarray, d: np.ndarray, ratio: float = CLIQUE_RATIO, criterion: str = "average") -> list[list[int]]:
+    """Cliques taken one after another: of those of at least ``ratio`` times the largest's size the one of least average (or largest: "complete") distance, of equal ones the larger, then the first; each item once."""
+
+    def looseness(clique):
+        inner = d[np.ix_(clique, clique)][np.triu_indices(len(clique), 1)]
+        return float(inner.sum() / (len(inner) + 0.0001) if criterion == "average" else inner.max(initial=0.0))
+
+    left, out = [set(c) for c in all_cliques(linked)], []
+    while left:
+        left = sorted({tuple(sorted(c)) for c in left}, key=lambda c: (-len(c), c))
+        largest = len(left[0])
+        if largest == 1:
+            return out + [list(c) for c in left]
+        best = min((c for c in left if len(c) >= max(2, round(largest * ratio))), key=lambda c: looseness(list(c)))
+        out.append(list(best))
+        left = [c for c in (set(c) - set(best) for c in left) if c]
+    return out
+
+
 def maximal_cliques(linked: np.ndarray) -> list[list[int]]:
     """Cliques taken one after another, the largest first (of ties the first items), each item once."""
     n = len(linked)
@@ -112,37 +270,80 @@ def maximal_cliques(linked: np.ndarray) -> list[list[int]]:
     return out
 
 
-def grouped(rows: DataFrame, group: str, kernel, schema: str) -> DataFrame:
-    return rows.select(group, "a", "b", "distance").groupBy(group).applyInPandas(kernel, schema)
+def grouped(rows: DataFrame, group: str, kernel: Callable[[np.ndarray], list[list[int]]], value: str, item_type: str) -> DataFrame:
+    """group, item and ``value``: the kernel's lists of items of each group, numbered; an item's number is its list's, or its place if there is one list alone."""
+    listed = rows.groupBy(F.col(group).alias("_g")).agg(*[F.collect_list(c).alias(c) for c in ("a", "b", "distance")])
+    schema = f"_g {dict(rows.dtypes)[group]}, item {item_type}, {value} int"
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups, items, values = [], [], []
+            for k in range(batch.num_rows):
+                ids, d = matrix(pd.DataFrame({c: batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("a", "b", "distance")}))
+                lists = kernel(d)
+                numbered = enumerate(lists[0]) if value == "place" else ((n, i) for n, some in enumerate(lists) for i in some)
+                pairs = [(n, ids[i]) for n, i in numbered]
+                groups += [batch.column("_g")[k].as_py()] * len(pairs)
+                items += [i for _, i in pairs]
+                values += [n for n, _ in pairs]
+            types = [batch.schema.field("_g").type, batch.schema.field("a").type.value_type, pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((groups, items, values), types)], names=["_g", "item", value])
 
-def cluster_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "long") -> DataFrame:
-    """group, item, cluster by average linkage."""
+    return listed.mapInArrow(run, schema).withColumnRenamed("_g", group)
 
-    def kernel(part: pd.DataFrame) -> pd.DataFrame:
-        ids, d = matrix(part)
-        return pd.DataFrame({group: part[group].iloc[0], "item": ids, "cluster": clusters(average_linkage(d, cutoff), len(ids)).astype("int32")})
 
-    return grouped(rows, group, kernel, f"{group} {dict(rows.dtypes)[group]}, item {item_type}, cluster int")
+def by_component(rows: DataFrame, group: str, cutoff: float) -> DataFrame:
+    """The distances within each component of the pairs at most ``cutoff`` apart, with ``_part``: its least item; an item that is near none is a component."""
+    rows = rows.select(F.col(group).alias("_g"), "a", "b", F.when(F.col("distance") >= 0, F.col("distance")).alias("distance"))
+    top = rows.groupBy("_g").agg(F.max("distance").alias("_top"))
+    node = lambda c: F.struct("_g", F.col(c).alias("item"))
+    ends = lambda df: df.select(node("a").alias("u"), node("b").alias("v"))
+    every = rows.select("_g", F.explode(F.array("a", "b")).alias("a"))
+    # where the largest distance is near, so are pairs without one
+    all_near = every.join(top.where(F.col("_top") <= cutoff), "_g").join(every.groupBy("_g").agg(F.min("a").alias("b")), "_g")
+    alone = every.select(node("a").alias("u"), node("a").alias("v"))
+    edges = ends(rows.where(F.col("distance") <= cutoff)).unionByName(ends(all_near)).unionByName(alone)
+    found = connected_components(edges, lambda df: saved(df, "near"))
+    part = lambda c: found.select(F.col("node._g").alias("_g"), F.col("node.item").alias(c), F.col("component.item").alias(f"_{c}"))
+    inside = rows.join(part("a"), ["_g", "a"]).join(part("b"), ["_g", "b"]).where("_a = _b").select("_g", F.col("_a").alias("_part"), "a", "b", "distance")
+    itself = found.select(F.col("node._g").alias("_g"), F.col("component.item").alias("_part"), F.col("node.item").alias("a"), F.col("node.item").alias("b"), F.lit(None).cast("double").alias("distance"))
+    # what a component lacks counts as the whole group's largest, which the pairs of items with themselves carry
+    return inside.unionByName(itself).join(top, "_g").withColumn("distance", F.coalesce("distance", "_top", F.lit(0.0))).drop("_top")
 
 
-def order_groups(rows: DataFrame, group: str, item_type: str = "long", method=leaf_order) -> DataFrame:
-    """group, item, place: items in an order in which neighbours are near."""
+def _within(rows: DataFrame, group: str, cutoff: float, kernel, value: str, item_type: str) -> DataFrame:
+    """Lists of each component of a group, numbered by their least item within the group."""
+    parts = by_component(rows, group, cutoff).withColumn("_key", F.struct("_g", "_part"))
+    found = grouped(parts, "_key", kernel, "_list", item_type).select("_key._g", "_key._part", "item", "_list")
+    order = found.groupBy("_g", "_part", "_list").agg(F.min("item").alias("_first"), F.count("*").alias("_size"))
+    return found.join(order, ["_g", "_part", "_list"]).withColumnRenamed("_g", group)
+
 
-    def kernel(part: pd.DataFrame) -> pd.DataFrame:
-        ids, d = matrix(part)
-        path = method(d)
-        return pd.DataFrame({group: part[group].iloc[0], "item": [ids[i] for i in path], "place": np.arange(len(path), dtype="int32")})
+def cluster_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "long") -> DataFrame:
+    """group, item, cluster by average linkage up to the cutoff; clusters are numbered by their least item."""
+    lists = lambda d: [np.flatnonzero(c).tolist() for c in (lambda labels: labels == np.arange(labels.max() + 1)[:, None])(clusters(average_linkage(d, cutoff), len(d)))]
+    found = _within(rows, group, cutoff, lists, "cluster", item_type)
+    return found.select(group, "item", (F.dense_rank().over(Window.partitionBy(group).orderBy("_first")) - 1).cast("int").alias("cluster"))
+
+
+def guarded_cluster_groups(rows: DataFrame, group: str, item_type: str = "long") -> DataFrame:
+    """group, item, cluster by average linkage with merges that may be refused; the largest cluster first, then by least item."""
+    found = _within(rows, group, FORCED_HEIGHT, guarded_clusters, "cluster", item_type)
+    order = Window.partitionBy(group).orderBy(F.desc("_size"), "_first")
+    return found.select(group, "item", (F.dense_rank().over(order) - 1).cast("int").alias("cluster"))
 
-    return grouped(rows, group, kernel, f"{group} {dict(rows.dtypes)[group]}, item {item_type}, place int")
 
+def clique_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "long", ratio: float | None = None, criterion: str = "average") -> DataFrame:
+    """group, item, clique: mutually near items, the largest clique first; with ``ratio`` the tightest of those nearly as large as the largest.
 
-def clique_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "long") -> DataFrame:
-    """group, item, clique: mutually near items, the largest clique first."""
+    Cliques are numbered by size, then by least item, over the components of a group.
+    """
+    kernel = (lambda d: maximal_cliques(d <= cutoff)) if ratio is None else (lambda d: tight_cliques(d <= cutoff, d, ratio, criterion))
+    found = _within(rows, group, cutoff, kernel, "clique", item_type)
+    order = Window.partitionBy(group).orderBy(F.desc("_size"), "_first", "_part")
+    return found.select(group, "item", (F.dense_rank().over(order) - 1).cast("int").alias("clique"))
 
-    def kernel(part: pd.DataFrame) -> pd.DataFrame:
-        ids, d = matrix(part)
-        rows_ = [(part[group].iloc[0], ids[i], k) for k, c in enumerate(maximal_cliques(d <= cutoff)) for i in c]
-        return pd.DataFrame(rows_, columns=[group, "item", "clique"]).astype({"clique": "int32"})
 
-    return grouped(rows, group, kernel, f"{group} {dict(rows.dtypes)[group]}, item {item_type}, clique int")
+def order_groups(rows: DataFrame, group: str, item_type: str = "long", method=leaf_order) -> DataFrame:
+    """group, item, place: items in an order in which neighbours are near."""
+    return grouped(rows, group, lambda d: [method(d)], "place", item_type)
