@@ -15,8 +15,8 @@ only rows of balls that some query of the block may need are multiplied.
 
 Vectors are integers, floor(scale * x).  Defined cases: a vector that is null or
 holds null or non-finite components takes no part; shorter vectors are padded
-with 0; a repeated vec_id counts once, with its least vector; null ids take no
-part; ties go to the smaller vec_id; fewer candidates than k give fewer rows.
+with 0; rows of a repeated vec_id are candidates each, and as queries share one
+ranking; null ids take no part; ties go to the smaller vec_id; fewer candidates than k give fewer rows.
 Blocks hold at most ``BLOCK`` rows, also of one hot leaf.
 """
 
@@ -182,26 +182,31 @@ def _packed(rows: DataFrame, limit: int, width: int, below: bool = False) -> Dat
         return pa.RecordBatch.from_arrays([*columns, *(pa.array([x]) for x in tree)], names=names)
 
     def pack(batches):
-        held: dict[int, list] = {}
-        sizes: dict[int, int] = {}
+        place, held, size = None, [], 0
         for batch in batches:
             leaf, slot, ids, low = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("leaf", "slot", "vec_id", "low"))
             leaf = leaf.astype(np.int64) << 32 | slot
             vectors = _matrix(batch.column("vec"), width)
-            for x in np.unique(leaf).tolist():
-                at = np.flatnonzero(leaf == x)
-                for lo in range(0, len(at), limit):
-                    part = at[lo : lo + limit]
-                    if sizes.get(x, 0) + len(part) > limit and held.get(x):
-                        yield flush(x, held.pop(x))
-                        sizes[x] = 0
-                    held.setdefault(x, []).append((ids[part], vectors[part], low[part]))
-                    sizes[x] = sizes.get(x, 0) + len(part)
-        for x, parts in held.items():
-            yield flush(x, parts)
+            cuts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1])).tolist() if len(leaf) else []
+            for lo, hi in zip(cuts, [*cuts[1:], len(leaf)]):
+                if held and leaf[lo] != place:
+                    yield flush(place, held)
+                    held, size = [], 0
+                place = int(leaf[lo])
+                while lo < hi:
+                    end = min(hi, lo + limit - size)
+                    held.append((ids[lo:end], vectors[lo:end], low[lo:end]))
+                    size += end - lo
+                    lo = end
+                    if size == limit:
+                        yield flush(place, held)
+                        held, size = [], 0
+        if held:
+            yield flush(place, held)
 
     schema = "leaf int, slot int, ids binary, vectors binary, item int, low binary, sizes binary, centres binary, radii binary, above binary"
-    return rows.select("leaf", "slot", "vec_id", "vec", "low").mapInArrow(pack, schema)
+    # a task holds one block at a time
+    return rows.select("leaf", "slot", "vec_id", "vec", "low").sortWithinPartitions("leaf", "slot").mapInArrow(pack, schema)
 
 
 def _scored(queries: DataFrame, data: DataFrame, pairs: DataFrame, k: int, width: int, seen=None) -> DataFrame:
@@ -266,9 +271,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
     finite = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("vec"))
-    rows = saved(rows.groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     width, many = rows.agg(F.max(F.size("vec")), F.count("*")).first()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toArrow()
+    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(fit_rows).select("vec").toArrow()
     if not sample.num_rows or not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     tree = fit(_matrix(sample.column("vec").combine_chunks(), width), min(max(many // LEAF_ROWS, leaves[0]), leaves[1]))
@@ -279,9 +284,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
         for batch in batches:
             x = _matrix(batch.column("vec"), width)
             leaf = ((centres**2).sum(1) - 2 * x @ centres.T).argmin(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32)), pa.array(np.linalg.norm(x - centres[leaf], axis=1))], names=["vec_id", "vec", "leaf", "distance"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32)), pa.array(np.linalg.norm(x - centres[leaf], axis=1))], names=["vec_id", "vec", "row", "leaf", "distance"])
 
-    placed = rows.mapInArrow(assign, "vec_id long, vec array<bigint>, leaf int, distance double")
+    placed = rows.mapInArrow(assign, "vec_id long, vec array<bigint>, row long, leaf int, distance double")
     placed = saved(placed.withColumn("is_query", F.coalesce(is_query, F.lit(False))).withColumn("low", F.lit(float("-inf"))), "leaves")
     # one row a leaf comes to the driver: covering radii and counts over all rows
     found = placed.groupBy("leaf").agg(F.max("distance").alias("d"), F.max(F.when(F.col("is_query"), F.col("distance"))).alias("q"), F.count("*").alias("n")).collect()
@@ -292,7 +297,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
         rq[r["leaf"]] = -1.0 if r["q"] is None else r["q"]
     slots = (count // BLOCK).astype(int) + 1
     held = F.array(*map(F.lit, slots.tolist()))
-    spread = placed.withColumn("slot", F.pmod(F.xxhash64("vec_id"), held[F.col("leaf")]).cast("int"))
+    spread = placed.withColumn("slot", F.pmod(F.xxhash64("row"), held[F.col("leaf")]).cast("int"))
     data = saved(_packed(spread.repartition(int(parts), "leaf", "slot"), BLOCK, width, True), "blocks")
     asked = placed.where("is_query").withColumn("slot", F.lit(0))
 
@@ -325,6 +330,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64, fit_rows:
 
 
 def op4_topk(vectors: DataFrame) -> DataFrame:
+    """Each query id's 20 best; every row is a candidate but those of its own id, and rows of one id are candidates each.
+
+    Vectors that are null or hold null or non-finite numbers, and null ids, take no part; several query rows of one id share a ranking.
+    """
     return top_k(vectors, F.col("vec_id") % 20 == 0)
 
 

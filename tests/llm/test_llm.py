@@ -398,6 +398,26 @@ def test_top_k(spark):
     assert few.count() == 1 and topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_rows_of_one_id(spark):
+    """Every row is a candidate but those of the query's own id, as in the SQL; a third of all rows may have one id."""
+    import duckdb
+
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (20, [0.25, 1.0]), (20, [0.5, -1.0]), (2, None), (None, [9.0, 9.0])] + [(3, [0.125 * (i % 7), 0.5]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame(rows, columns=["vec_id", "embedding"]).astype({"vec_id": "Int64"}))
+    got = topk.op4_topk(df).toPandas()
+    same(got, con.execute(topk.ORACLE).df())
+    assert got[(got.query_id == 0) & (got.vec_id == 1)].score.tolist() == [4096, 2048]
+
+
+def test_a_task_holds_one_block(spark):
+    """Blocks come out as soon as they are full or their leaf and slot end, whatever else the partition holds."""
+    rows = spark.range(5000).selectExpr("cast(id % 50 as int) AS leaf", "0 AS slot", "id AS vec_id", "array(id) AS vec", "cast('-infinity' as double) AS low").coalesce(1)
+    blocks = topk._packed(rows, 64, 1).select("leaf", F.length("ids").alias("n")).toPandas()
+    assert blocks.leaf.is_monotonic_increasing and sorted(set(blocks.n // 8)) == [36, 64] and blocks.n.sum() == 5000 * 8
+
+
 def test_the_tree_prunes(spark):
     """Clustered vectors: few pairs of query and row are multiplied, and the results are those of brute force, hot vectors and ties included."""
     rng = np.random.default_rng(11)
@@ -455,6 +475,26 @@ def test_urls(spark):
     assert (got.host[got.page_id < 4] == "").all() and url_filter.op5_url_filter(pages.limit(0)).count() == 0
 
 
+def test_very_long_urls(spark):
+    """A host of half a million labels, and a path of a megabyte: in seconds, as only suffixes of the rules' labels are keys."""
+    urls = ["http://" + "a." * 500_000 + "net/de/x", "http://" + "b." * 500_000 + "example.com/en/7" + "/" * 1_000_000, "http://" + "c" * 1_000_000 + "/en/"]
+    got = url_filter.op5_url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).toPandas().sort_values("page_id")
+    assert [None if r != r else r for r in got.rule] == ["net/de/", "example.com/en/7", None] and got.host.str.len().tolist() == [1_000_003, 1_000_011, 1_000_000]
+
+
+def test_strings_decide(spark, monkeypatch):
+    """Keys whose hashes equal a listed key's are told apart."""
+    monkeypatch.setattr(url_filter, "hash_keys", lambda keys: np.zeros(len(keys), np.uint64))
+    pages = spark.createDataFrame([(1, "http://a.com/en/"), (2, "http://b.io/en/")], "page_id long, url string")
+    assert [r.verdict for r in url_filter.op5_url_filter(pages).orderBy("page_id").collect()] == ["block", "allow"]
+
+
+def test_levels_joined_by_spark(spark):
+    keys = np.random.default_rng(2).integers(1, 1 << 62, 5000).astype(np.uint64)
+    table = spark.createDataFrame([(int(k),) for k in keys], "hash long").repartition(7)
+    assert (url_filter._spread_level(table, 5000, 3) == url_filter._level(keys, 3)).all()
+
+
 #: Pairs of windows that share a symbol and 32 bits of one hash of their words.
 ALIKE = [
     ("b a a b b a b b a b b a b a b b a a a a", "a b b a a a b b b a b a b b a b b b a a"),
