@@ -236,12 +236,6 @@ def bulges(lineitem):
     return interior.join(lineitem.where("l_returnflag in ('A', 'R')"), ["l_orderkey", "l_linenumber"], "left_anti")
 
 
-@query("lineitem", sql="SELECT unit, partner, count(*) AS n FROM (SELECT l_partkey AS unit, l_suppkey AS partner FROM lineitem WHERE l_returnflag = 'R' UNION ALL SELECT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1, 2")
-def clash_pairs(lineitem):
-    both = F.array(F.struct(F.col("l_partkey").alias("unit"), F.col("l_suppkey").alias("partner")), F.struct(F.col("l_suppkey").alias("unit"), F.col("l_partkey").alias("partner")))
-    return lineitem.where("l_returnflag = 'R'").select(F.inline(both)).groupBy("unit", "partner").agg(F.count("*").alias("n"))
-
-
 @query("documents", "labels", sql="SELECT d.doc_id, coalesce(own, parent) AS label FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS own FROM labels GROUP BY 1) a ON a.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, max(quality) AS parent FROM labels GROUP BY 1) b ON b.doc_id = d.doc_id // 2")
 def annotation_carry_forward(documents, labels):
     found = labels.groupBy("doc_id").agg(F.max("quality").alias("label"))

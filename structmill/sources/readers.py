@@ -197,3 +197,84 @@ def renamed(rows: DataFrame, spec: dict[str, tuple[str, str]], null_if: tuple[st
         text = F.trim(F.col(f"`{old}`").cast("string"))
         out.append(F.when(~text.isin(*null_if), text).try_cast(kind).alias(new))
     return rows.select(*out)
+
+
+def validation_clashes(spark: SparkSession, path: str) -> DataFrame:
+    """path, place, chain, number, ins_code, alt, model, cid, atom, distance, magnitude of the clash elements within residues of validation XML; place counts them in a file."""
+    return _parsed(spark, path, parse_clashes, "path string, place int, chain string, number int, ins_code string, alt string, model int, cid string, atom string, distance double, magnitude double")
+
+
+def parse_clashes(text: str) -> list[tuple]:
+    blank = lambda x: None if x is None or not x.strip() or x.strip() in (".", "NotAvailable") else x.strip()
+    cast = lambda x, kind: None if blank(x) is None else kind(x)
+    out: list[tuple] = []
+    for r in ET.fromstring(text).iter("ModelledSubgroup"):
+        key = (r.get("chain"), int(r.get("resnum")), blank(r.get("icode")), blank(r.get("altcode")), cast(r.get("model"), int))
+        out += [(len(out) + k, *key, c.get("cid"), c.get("atom"), cast(c.get("dist"), float), cast(c.get("clashmag"), float)) for k, c in enumerate(r.findall("clash"))]
+    return out
+
+
+_LETTER = re.compile(r"\((\w)\) (-?\d+\.\d+) (-?\d+\.\d+) lwstring")
+_SCALE = re.compile(r"(\d+\.\d+) (\d+\.\d+) scale")
+_TRANSLATE = re.compile(r"(-?\d+\.\d+) (-?\d+\.\d+) translate")
+#: Pixels of a point; letters that precede a line of another kind are no diagram unless there are so many; where the left edge starts.
+PIXELS, LEAST_LETTERS, LEFT = 96.0 / 72.0, 10, 100.0
+
+
+def diagrams(spark: SparkSession, path: str) -> DataFrame:
+    """path, index, unit, x, y: letters of 2-D diagrams, in pixels from the left and top edge."""
+    return _parsed(spark, path, parse_diagram, "path string, index int, unit string, x double, y double")
+
+
+def parse_diagram(text: str) -> list[tuple[int, str, float, float]]:
+    """Scales and translations apply to all letters after them, each within those before it."""
+    scale_x, scale_y, at_x, at_y = 1.0, 1.0, 0.0, 0.0
+    left, top, letters = LEFT, 0.0, []
+    for line in text.splitlines():
+        line = re.sub("%.*$", "", line.rstrip())
+        if m := _LETTER.fullmatch(line):
+            x, y = float(m[2]) * scale_x + at_x, float(m[3]) * scale_y + at_y
+            left, top = min(left, x), max(top, y)
+            letters.append(("U" if m[1].upper() == "Y" else m[1].upper(), x, y))
+        elif m := _SCALE.fullmatch(line):
+            scale_x, scale_y = scale_x * float(m[1]), scale_y * float(m[2])
+        elif m := _TRANSLATE.fullmatch(line):
+            at_x, at_y = at_x + scale_x * float(m[1]), at_y + scale_y * float(m[2])
+        elif len(letters) < LEAST_LETTERS:
+            letters = []
+    return [(k, unit, round(PIXELS * (x - left), 3), round(PIXELS * (top - y), 3)) for k, (unit, x, y) in enumerate(letters)]
+
+
+def assemblies(spark: SparkSession, path: str) -> DataFrame:
+    """path, assembly_id, chain, symmetry_id, symmetry of mmCIF files: which chains an assembly holds under which operators.
+
+    Chains are the authors', each once an assembly and operator; chains unknown to the atoms are left out.  An expression with parentheses or
+    the operator P is kept whole under the id 0 (``correspondence.operator_products`` takes it apart).  An assembly without a number follows
+    the largest so far.  Files without generators use their integrative assembly details, under the identity.
+    """
+    return _parsed(spark, path, parse_assemblies, "path string, assembly_id int, chain string, symmetry_id string, symmetry string")
+
+
+def parse_assemblies(text: str) -> list[tuple[int, str, str, str | None]]:
+    author = {label: name for label, name in parse_cif(text, "_atom_site", ["label_asym_id", "auth_asym_id"])}
+    operators = dict(parse_cif(text, "_pdbx_struct_oper_list", ["id", "name"]))
+    generators = parse_cif(text, "_pdbx_struct_assembly_gen", ["assembly_id", "oper_expression", "asym_id_list"])
+    out: list[tuple[int, str, str, str | None]] = []
+    if not generators:
+        details = parse_cif(text, "_ihm_struct_assembly_details", ["assembly_id", "asym_id"])
+        return [(int(a), author.get(c) if author else c, "1", "1_555") for a, c in details if a and c and (not author or author.get(c))]
+    largest = 0
+    for assembly, expression, labels in generators:
+        number = int(assembly) if assembly and assembly.isdigit() else largest + 1
+        largest = max(largest, number)
+        whole = "(" in expression or "P" in expression
+        seen: set[tuple[str, str]] = set()
+        for chain in filter(None, (author.get(label) for label in labels.split(","))):
+            if whole:
+                out.append((number, chain, "0", expression))
+                continue
+            for operator in expression.split(","):
+                if (chain, operator) not in seen:
+                    seen.add((chain, operator))
+                    out.append((number, chain, operator, operators.get(operator)))
+    return out
