@@ -150,11 +150,11 @@ def overlap_classify(lineitem):
 
 
 @query("lineitem", sql="""
-WITH s AS (SELECT DISTINCT l_orderkey AS o, l_partkey % 50 AS p FROM lineitem), n AS (SELECT o, count(*) AS n FROM s GROUP BY 1),
+WITH s AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem), n AS (SELECT o, count(*) AS n FROM s GROUP BY 1),
 c AS (SELECT a.o AS x, b.o AS y, count(*) AS c FROM s a JOIN s b ON a.p = b.p AND a.o <> b.o GROUP BY 1, 2)
 SELECT o FROM n WHERE o NOT IN (SELECT x FROM c JOIN n m ON x = m.o JOIN n k ON y = k.o WHERE c = m.n AND k.n > m.n)""")
 def maximal_sets(lineitem):
-    return relational.maximal_sets(lineitem.select(F.col("l_orderkey").alias("o"), (F.col("l_partkey") % 50).alias("p")), "o", "p")
+    return relational.maximal_sets(lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p")), "o", "p")
 
 
 @query("nation", "region", sql="SELECT r_name, string_agg(n_name, '|' ORDER BY n_nationkey) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
@@ -186,10 +186,10 @@ def null_mean_default(documents, labels):
 
 
 @query("lineitem", sql="""
-WITH u AS (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey % 10 AS s FROM lineitem)
+WITH u AS (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey AS s FROM lineitem)
 SELECT a.s AS s1, b.s AS s2, CASE WHEN a.s = b.s THEN count(*) / 2.0 ELSE CAST(count(*) AS DOUBLE) END AS n FROM u a JOIN u b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber <> b.l_linenumber GROUP BY 1, 2""")
 def matrix_count_half_self(lineitem):
-    u = lineitem.select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 10).alias("s")).distinct()
+    u = lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s")).distinct()
     pairs = u.withColumnsRenamed({"l_linenumber": "x", "s": "s1"}).join(u.withColumnsRenamed({"l_linenumber": "y", "s": "s2"}), "l_orderkey").where("x != y")
     return agg.pair_count_matrix(pairs, "s1", "s2")
 
@@ -375,10 +375,10 @@ def qa_cascade(documents, labels):
 
 
 @query("part", sql="""
-SELECT p_partkey, upper(substr(p_name, 1, 6)) AS sequence, md5(upper(substr(p_name, 1, 6))) AS md5, CASE WHEN regexp_matches(s, '[^ACGUNTI]') THEN NULL ELSE translate(upper(substr(p_name, 1, 6)), 'TI', 'UG') END AS normalized
-FROM (SELECT *, substr(upper(substr(p_name, 1, 6)), 1, greatest(length(substr(p_name, 1, 6)) - 1, 0)) AS s FROM part) WHERE regexp_matches(upper(substr(p_name, 1, 6)), '[ACGUNTI]$')""")
+WITH p AS (SELECT p_partkey, upper(replace(p_name, ' ', '')) AS sequence FROM part)
+SELECT p_partkey, sequence, md5(sequence) AS md5, CASE WHEN regexp_matches(sequence[:-2], '[^ACGUNTI]') OR NOT regexp_matches(sequence, '[ACGUNTI]$') THEN NULL ELSE translate(sequence, 'TI', 'UG') END AS normalized FROM p WHERE regexp_matches(sequence, '[ACGUNTI]$')""")
 def seq_normalise_md5(part):
-    rows = part.select("p_partkey", F.upper(F.substring("p_name", 1, 6)).alias("sequence")).where(F.col("sequence").rlike("[ACGUNTI]$"))
+    rows = part.select("p_partkey", F.upper(F.replace("p_name", F.lit(" "), F.lit(""))).alias("sequence")).where(F.col("sequence").rlike("[ACGUNTI]$"))
     return sequences.sequence_row(rows, {"T": "U", "I": "G"}).select("p_partkey", "sequence", "md5", "normalized")
 
 
@@ -548,11 +548,11 @@ def json_fields(events):
 
 
 @query("orders", sql="""
-WITH n AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0), s AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0)
-SELECT o_orderkey, 'new' AS o_orderstatus, o_custkey FROM n UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)""")
+WITH n AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT o_orderkey, 'new' AS o_orderstatus, o_custkey FROM n UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)""")
 def upsert(orders):
     cols = ["o_orderkey", "o_orderstatus", "o_custkey"]
-    stored, new = orders.where("o_orderkey % 2 = 0").select(*cols), orders.where("o_orderkey % 3 = 0").select(*cols).withColumn("o_orderstatus", F.lit("new"))
+    stored, new = orders.select(*cols), orders.where("o_orderpriority = '1-URGENT'").select(*cols).withColumn("o_orderstatus", F.lit("new"))
     return relational.upsert(stored, new, ["o_orderkey"])
 
 
@@ -564,15 +564,6 @@ def symmetric_labels(lineitem):
     return relational.symmetric_labels(lineitem.select(F.concat(F.lit("u"), "l_partkey").alias("unit_1"), F.concat(F.lit("u"), "l_suppkey").alias("unit_2"), label.alias("label")))
 
 
-@query("lineitem", sql="SELECT l_suppkey AS s, min(CASE WHEN l_partkey % 5 = 0 THEN 'x' || l_partkey WHEN l_partkey % 5 = 1 THEN 'y' || l_partkey END) AS found FROM (SELECT l_suppkey, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1) GROUP BY 1")
-def ordered_fallback(lineitem):
-    wanted = lineitem.groupBy("l_suppkey").agg(F.min("l_partkey").alias("p"))
-    key = F.concat_ws(":", "l_suppkey", "p").alias("key")
-    existing = lineitem.select(F.explode(F.array(F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("x"), "l_partkey")), F.when(F.col("l_partkey") % 5 == 1, F.concat(F.lit("y"), "l_partkey")))).alias("key")).where("key is not null")
-    part = F.element_at(F.split("key", ":"), 2)
-    out = relational.ordered_fallback(wanted.select(key), existing, "key", [F.concat(F.lit("x"), part), F.concat(F.lit("y"), part)])
-    return out.select(F.element_at(F.split("key", ":"), 1).cast("long").alias("s"), "found")
-
 
 @query("orders", "lineitem", sql="""
 WITH r AS (SELECT o_custkey % 50 AS handle, year(o_orderdate) % 3 AS release, min(o_orderkey) AS rep FROM orders GROUP BY 1, 2)

@@ -187,10 +187,6 @@ def case_in_join(orders, customer):
     return orders.join(customer, F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).otherwise(F.col("o_custkey") + 1) == F.col("c_custkey")).select("o_orderkey", "c_custkey")
 
 
-@query("lineitem", sql="SELECT l_orderkey, l_linenumber - 1 AS from_zero, l_linenumber AS from_one, count(*) AS n FROM lineitem GROUP BY 1, 2, 3")
-def index_remap(lineitem):
-    return lineitem.groupBy("l_orderkey", (F.col("l_linenumber") - 1).alias("from_zero"), F.col("l_linenumber").alias("from_one")).agg(F.count("*").alias("n"))
-
 
 @query("lineitem", "orders", sql="SELECT l_orderkey AS k, 'zero' AS why FROM lineitem WHERE l_tax = 0 UNION SELECT o_orderkey, 'missing' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def missing_or_zero(lineitem, orders):
@@ -199,22 +195,6 @@ def missing_or_zero(lineitem, orders):
     return zero.unionByName(missing)
 
 
-@query("lineitem", "orders", sql="""
-WITH d AS (SELECT l_orderkey AS g, l_suppkey AS hub, count(DISTINCT l_partkey) AS partners FROM lineitem GROUP BY 1, 2)
-SELECT g, max(CASE WHEN partners >= 2 THEN hub END) AS hub, count(*) AS chains FROM d GROUP BY 1""")
-def many_partner_override(lineitem, orders):
-    degree = lineitem.groupBy(F.col("l_orderkey").alias("g"), F.col("l_suppkey").alias("hub")).agg(F.count_distinct("l_partkey").alias("partners"))
-    return degree.groupBy("g").agg(F.max(F.when(F.col("partners") >= 2, F.col("hub"))).alias("hub"), F.count("*").alias("chains"))
-
-
-@query("lineitem", "part", sql="""
-WITH m AS (SELECT p_partkey AS unit, p_size AS position FROM part), i AS (SELECT l_orderkey AS pdb, l_partkey AS u, l_suppkey AS v, min(l_returnflag) AS label FROM lineitem GROUP BY 1, 2, 3)
-SELECT pdb, a.position AS position_1, b.position AS position_2, label, count(*) AS n FROM i JOIN m a ON u = a.unit JOIN m b ON v = b.unit GROUP BY 1, 2, 3, 4""")
-def interaction_correspondence(lineitem, part):
-    pairs = lineitem.groupBy(F.col("l_orderkey").alias("pdb"), F.col("l_partkey").alias("u"), F.col("l_suppkey").alias("v")).agg(F.min("l_returnflag").alias("label"))
-    side = lambda k, p: part.select(F.col("p_partkey").alias(k), F.col("p_size").alias(p))
-    return pairs.join(side("u", "position_1"), "u").join(side("v", "position_2"), "v").groupBy("pdb", "position_1", "position_2", "label").agg(F.count("*").alias("n"))
-
 
 @query("lineitem", sql="SELECT l_partkey, l_orderkey, l_extendedprice FROM (SELECT l_partkey, l_orderkey, l_extendedprice, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice, l_orderkey, l_linenumber) AS k FROM lineitem WHERE l_extendedprice < 40000) WHERE k = 1")
 def best_below_cutoff(lineitem):
@@ -299,22 +279,6 @@ def open_range_pages(orders):
     return orders.where(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp")).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.floor((at - 1) / 5).cast("int").alias("page"))
 
 
-@query("lineitem", "orders", "customer", sql="""
-SELECT c_mktsegment, count(DISTINCT o_orderkey) AS structures, count(*) AS units, count(*) FILTER (l_returnflag = 'A') AS pairs, round(count(*) FILTER (l_returnflag = 'A') / count(*)::DOUBLE, 4) AS bp_nt
-FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
-def pairing_report(lineitem, orders, customer):
-    rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(customer, orders.o_custkey == customer.c_custkey)
-    pairs = F.count_if(F.col("l_returnflag") == "A")
-    return rows.groupBy("c_mktsegment").agg(F.count_distinct("o_orderkey").alias("structures"), F.count("*").alias("units"), pairs.alias("pairs"), F.round(pairs / F.count("*"), 4).alias("bp_nt"))
-
-
-@query("documents", "labels", sql="""
-SELECT source, lang, count(*) AS loops, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality = 0) AS bad, count(*) FILTER (quality IS NULL) AS unknown, max(n_chars) AS longest FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) USING (doc_id) GROUP BY 1, 2""")
-def loop_quality_report(documents, labels):
-    rows = documents.join(labels.groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id", "left")
-    q = F.col("quality")
-    return rows.groupBy("source", "lang").agg(F.count("*").alias("loops"), F.count_if(q == 1).alias("good"), F.count_if(q == 0).alias("bad"), F.count_if(q.isNull()).alias("unknown"), F.max("n_chars").alias("longest"))
-
 
 @query("orders", "lineitem", sql="""
 WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), r AS (SELECT o_custkey, o_orderkey, n, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderkey) AS k FROM orders JOIN n ON o_orderkey = l_orderkey)

@@ -2,7 +2,7 @@ import pytest
 from compare import same
 from conftest import SMALLEST
 
-from structmill.plans.matches import ORACLES, QUERIES
+from structmill.plans.tables import ORACLES, QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
