@@ -303,7 +303,7 @@ def by_component(rows: DataFrame, group: str, cutoff: float) -> DataFrame:
     all_near = every.join(top.where(F.col("_top") <= cutoff), "_g").join(every.groupBy("_g").agg(F.min("a").alias("b")), "_g")
     alone = every.select(node("a").alias("u"), node("a").alias("v"))
     edges = ends(rows.where(F.col("distance") <= cutoff)).unionByName(ends(all_near)).unionByName(alone)
-    found = connected_components(edges, lambda df: saved(df, "near"))
+    found = connected_components(edges, lambda df: saved(df, "near"), small_plans=True)
     part = lambda c: found.select(F.col("node._g").alias("_g"), F.col("node.item").alias(c), F.col("component.item").alias(f"_{c}"))
     inside = rows.join(part("a"), ["_g", "a"]).join(part("b"), ["_g", "b"]).where("_a = _b").select("_g", F.col("_a").alias("_part"), "a", "b", "distance")
     itself = found.select(F.col("node._g").alias("_g"), F.col("component.item").alias("_part"), F.col("node.item").alias("a"), F.col("node.item").alias("b"), F.lit(None).cast("double").alias("distance"))

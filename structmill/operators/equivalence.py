@@ -85,9 +85,10 @@ def equivalence_classes(chains: DataFrame, alignments: DataFrame, discrepancies:
 
     ``chains`` has bp and name beside the columns of ``equivalence_edges``; ids are unique.
     """
-    chains = chains.where("length > 0")
+    chains = saved(chains.where("length > 0"), "chains-with-length")
+    discrepancies = saved(discrepancies.select("id_1", "id_2", "discrepancy"), "discrepancies")
     edges = equivalence_edges(chains, alignments, discrepancies, always)
-    found = connected_components(edges, lambda df: saved(df, "classes")).select(F.col("node").alias("id"), F.col("component").alias("group"))
+    found = connected_components(edges, lambda df: saved(df, "classes"), small_plans=True).select(F.col("node").alias("id"), F.col("component").alias("group"))
     split = split_species(chains.join(found, "id"), "group", "id", "length", "species")
     rank = F.row_number().over(Window.partitionBy("group", "part").orderBy(*ranking())) - 1
     return split.select("id", "group", "part", rank.alias("rank"))
