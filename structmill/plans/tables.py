@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from structmill.operators import elements, relational, reporting
+from structmill.operators import elements, relational, reporting, selection
 from structmill.plans.matches import ORACLES, QUERIES
 from structmill.plans.reports import query
 
@@ -105,3 +105,49 @@ def ordered_fallback(customer, supplier):
     rewrites = [F.concat(F.lit("Supplier#"), own), name(F.floor(own.cast("long") / 10)), name(number)]
     found = relational.ordered_fallback(nation, supplier.select(F.col("s_name").alias("c_name")), "c_name", rewrites)
     return found.select(F.split_part("c_name", F.lit("/"), F.lit(1)).alias("c_name"), "found")
+
+
+UNIT_ID = "concat_ws('|', l_suppkey, 1, l_returnflag, l_linestatus, l_partkey) || CASE WHEN l_tax > 0.04 THEN '||||' || CASE WHEN l_discount < 0.03 THEN 'P_1' WHEN l_linestatus = 'F' THEN '2_555' ELSE '3_555' END ELSE '' END"
+
+
+@query("orders", "lineitem", sql=f"""
+WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1),
+l AS (SELECT o_orderkey AS loop, CASE o_orderstatus WHEN 'F' THEN 'IL' WHEN 'O' THEN 'HL' ELSE 'J3' END AS kind, n FROM orders JOIN n ON o_orderkey = l_orderkey WHERE o_totalprice <= 450000 AND substr(o_orderpriority, 1, 1) IN ('1', '3') AND NOT (o_orderstatus = 'F' AND n <= 4)),
+p AS (SELECT DISTINCT l_orderkey AS loop, l_linenumber AS position, (l_returnflag <> 'N')::INT AS border, {UNIT_ID} AS unit FROM lineitem),
+a AS (SELECT loop, kind, position, sum(border) AS borders, max((unit, border)) AS x FROM p JOIN l USING (loop) GROUP BY ALL),
+f AS (SELECT *, x[1] AS unit, x[2] AS border, string_split(x[1], '|') AS w FROM a),
+e AS (SELECT loop, kind, sum(borders) AS borders, count(*) FILTER (len(w) < 9) AS plain, count(DISTINCT CASE WHEN len(w) >= 9 THEN w[9] END) AS syms, min(CASE WHEN len(w) >= 9 THEN w[9] END) AS sym, list_sort(list(array_to_string(w[1:5], '|'))) AS units, max(CASE WHEN position = 1 THEN len(w) END) AS first FROM f GROUP BY 1, 2),
+g AS (SELECT * FROM e WHERE borders >= CASE kind WHEN 'HL' THEN 2 WHEN 'IL' THEN 4 ELSE 6 END AND NOT (plain = 0 AND syms = 1 AND sym <> 'P_1')),
+c AS (SELECT loop FROM (SELECT loop, row_number() OVER (PARTITION BY units ORDER BY first, loop) AS k FROM g WHERE first IS NOT NULL) WHERE k = 1 UNION ALL SELECT loop FROM g WHERE first IS NULL)
+SELECT loop, kind, position, border, unit FROM f SEMI JOIN c USING (loop)""")
+def loop_selection(orders, lineitem):
+    """Orders as loops: dear ones are deprecated, priorities are statuses, lines that were not kept are borders, taxed ones have symmetries."""
+    kind = F.when(F.col("o_orderstatus") == "F", "IL").when(F.col("o_orderstatus") == "O", "HL").otherwise("J3")
+    sizes = lineitem.groupBy(F.col("l_orderkey").alias("loop")).agg(F.count("*").alias("length"))
+    loops = orders.select(F.col("o_orderkey").alias("loop"), kind.alias("kind"), (F.col("o_totalprice") > 450000).alias("deprecated")).join(sizes, "loop")
+    statuses = orders.select(F.col("o_orderkey").alias("loop"), F.substring("o_orderpriority", 1, 1).cast("int").alias("status"))
+    positions = lineitem.select(F.col("l_orderkey").alias("loop"), F.col("l_linenumber").alias("position"), (F.col("l_returnflag") != "N").cast("int").alias("border"), F.expr(UNIT_ID).alias("unit"))
+    return selection.select_loops(loops, positions, statuses)
+
+
+@query("orders", "lineitem", "customer", sql="""
+SELECT o_orderkey AS id, o_custkey AS entry, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS units, any_value(CASE WHEN c_nationkey < 12 THEN c_mktsegment END) AS motif FROM orders JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
+def loops_export(orders, lineitem, customer):
+    """Orders with their parts and their customers' segment, as assigned in the release of the nations below 12."""
+    units = lineitem.groupBy(F.col("l_orderkey").alias("loop")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"].cast("string")).alias("units"))
+    loops = orders.select(F.col("o_orderkey").alias("loop"), F.col("o_custkey").alias("entry")).join(units, "loop")
+    release = F.when(F.col("c_nationkey") < 12, "2.0").otherwise("1.0")
+    motifs = orders.join(customer, orders.o_custkey == customer.c_custkey).select(F.col("o_orderkey").alias("loop"), release.alias("release"), F.col("c_mktsegment").alias("motif"))
+    return selection.loops_table(loops, motifs, "2.0")
+
+
+@query("lineitem", "supplier", sql="""
+WITH e AS (SELECT l_orderkey AS element, l_suppkey AS chain FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem) WHERE k = 1),
+s AS (SELECT a.s_suppkey AS c, b.s_suppkey AS d, abs(a.s_acctbal - b.s_acctbal) AS x FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey <> b.s_suppkey)
+SELECT s_suppkey AS element_1, d AS element_2, x AS discrepancy FROM (SELECT c AS s_suppkey, d, x FROM s WHERE c < d) WHERE s_suppkey IN (SELECT chain FROM e) AND d IN (SELECT chain FROM e)""")
+def discrepancy_export(lineitem, supplier):
+    """Suppliers of a nation by their balances, as elements where they come first in some order."""
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    chains = lineitem.select("l_suppkey", (F.row_number().over(order) - 1).alias("index")).distinct().select(F.col("l_suppkey").alias("element"), F.col("l_suppkey").alias("chain"), "index")
+    side = lambda k: supplier.select("s_nationkey", F.col("s_suppkey").alias(f"chain_{k}"), F.col("s_acctbal").alias(f"x{k}"))
+    return selection.discrepancy_table(side(1).join(side(2), "s_nationkey").select("chain_1", "chain_2", F.abs(F.col("x1") - F.col("x2")).alias("discrepancy")), chains)
