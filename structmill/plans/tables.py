@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from structmill.operators import elements, relational, reporting, selection
+from structmill.operators import corrections, elements, relational, reporting, selection
 from structmill.plans.matches import ORACLES, QUERIES
 from structmill.plans.reports import query
 
@@ -151,3 +151,41 @@ def discrepancy_export(lineitem, supplier):
     chains = lineitem.select("l_suppkey", (F.row_number().over(order) - 1).alias("index")).distinct().select(F.col("l_suppkey").alias("element"), F.col("l_suppkey").alias("chain"), "index")
     side = lambda k: supplier.select("s_nationkey", F.col("s_suppkey").alias(f"chain_{k}"), F.col("s_acctbal").alias(f"x{k}"))
     return selection.discrepancy_table(side(1).join(side(2), "s_nationkey").select("chain_1", "chain_2", F.abs(F.col("x1") - F.col("x2")).alias("discrepancy")), chains)
+
+
+KNOWN_UNITS = """
+u AS (SELECT l_orderkey AS o, l_partkey AS p, l_suppkey AS s, min(l_linestatus) AS st, min(l_tax) AS tax, min(l_discount) AS d, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2, 3),
+k AS (SELECT o, p, s, q, CASE st WHEN 'F' THEN 1 ELSE 2 END AS model, CASE WHEN tax < 0.04 THEN 'A' END AS alt, CASE WHEN d < 0.05 THEN 'P_1' WHEN q > 40 THEN '2_555' ELSE '1_555' END AS sym FROM u)"""
+
+
+@query("lineitem", sql=f"""WITH {KNOWN_UNITS},
+w AS (SELECT o, p, s, CASE WHEN q > 20 THEN 2 ELSE model END AS model, alt, sym, CASE WHEN q > 10 THEN NULL ELSE alt END AS walt, CASE WHEN q > 40 THEN sym ELSE '1_555' END AS wsym, model AS m FROM k),
+c AS (SELECT o, p, s, alt, sym, m, unnest([(model, walt, wsym), CASE WHEN model <> 1 AND wsym <> '1_555' THEN (1, walt, wsym) END, CASE WHEN walt IS NULL THEN (model, 'A', wsym) END, CASE WHEN walt IS NULL AND model <> 1 AND wsym <> '1_555' THEN (1, 'A', wsym) END,
+  CASE WHEN wsym = '1_555' THEN (model, walt, 'P_1') END, CASE WHEN wsym = '1_555' AND walt IS NULL THEN (model, 'A', 'P_1') END, CASE WHEN model = 2 THEN (1, walt, wsym) END]) AS x, o || '|' || model || '|' || s || '|N|' || p || '||' || coalesce(walt, '') || '||' || wsym AS unit FROM w)
+SELECT DISTINCT unit, o || '|' || m || '|' || s || '|N|' || p || '||' || coalesce(alt, '') || '||' || sym AS corrected FROM c WHERE x IS NOT NULL AND x = (m, alt, sym) OR (x[1] = m AND x[2] IS NULL AND alt IS NULL AND x[3] = sym)""")
+def unit_corrections(lineitem):
+    """Lines as units, some asked for in another model, without their alternate, or under the identity; those that a rewrite finds."""
+    rows = lineitem.groupBy(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).agg(F.min("l_linestatus").alias("st"), F.min("l_tax").alias("tax"), F.min("l_discount").alias("d"), F.min("l_quantity").alias("q"))
+    model, alt = F.when(F.col("st") == "F", 1).otherwise(2), F.when(F.col("tax") < 0.04, "A").otherwise("")
+    symmetry = F.when(F.col("d") < 0.05, "P_1").when(F.col("q") > 40, "2_555").otherwise("1_555")
+    unit = lambda m, a, y: F.concat_ws("|", "o", m, "s", F.lit("N"), "p", F.lit(""), a, F.lit(""), y).alias("unit")
+    wanted = rows.select(unit(F.when(F.col("q") > 20, 2).otherwise(model), F.when(F.col("q") > 10, "").otherwise(alt), F.when(F.col("q") > 40, symmetry).otherwise("1_555")))
+    return corrections.corrected(wanted, rows.select(unit(model, alt, symmetry)), require_all=False)
+
+
+@query("customer", "nation", "orders", sql="""
+WITH c AS (SELECT c_custkey AS id, CAST(c_acctbal AS INT) // 10 AS sequence, c_nationkey AS sid, CASE WHEN c_nationkey = 3 THEN NULL WHEN c_nationkey = 4 THEN 'synthetic construct' WHEN c_nationkey = 5 THEN n_name || ' sp.' ELSE n_name END AS name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+k AS (SELECT DISTINCT sequence, name FROM c WHERE id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 490000) AND name IS NOT NULL),
+e AS (SELECT sequence, list_sort(list(name)) AS expected FROM k GROUP BY 1),
+f AS (SELECT sequence, name, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY CAST(id AS VARCHAR)) AS ids FROM c WHERE name <> 'synthetic construct' GROUP BY 1, 2),
+g AS (SELECT sequence, list(name ORDER BY name) AS names, string_agg(name || ': (' || ids || ')', ', ' ORDER BY name) AS told, any_value(expected) AS expected FROM f LEFT JOIN e USING (sequence) GROUP BY 1),
+h AS (SELECT sequence, CASE WHEN expected IS NOT NULL THEN CASE WHEN len(list_filter(names, lambda x: NOT list_contains(expected, x))) > 0 THEN 'Unexpected species ' || array_to_string(list_filter(names, lambda x: NOT list_contains(expected, x)), ', ') || ' assigned to this sequence Expected one of ' || array_to_string(expected, ', ') END WHEN len(names) > 1 THEN 'Multiple species assigned to this sequence: ' || told END AS shared FROM g)
+SELECT id, concat_ws('; ', CASE WHEN name LIKE '%sp.%' THEN 'Unlikely species name: (' || name || ')' END, CASE WHEN name IS NULL THEN 'Species with no assigned name. Taxon id: ' || sid END, shared) AS problems FROM c LEFT JOIN h USING (sequence) WHERE problems <> ''""")
+def species_report(customer, nation, orders):
+    """Customers as chains, of sequences by their balance; species expected of a sequence are those of customers with a dear order."""
+    name = F.when(F.col("c_nationkey") == 3, None).when(F.col("c_nationkey") == 4, "synthetic construct").when(F.col("c_nationkey") == 5, F.concat("n_name", F.lit(" sp."))).otherwise(F.col("n_name"))
+    rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    chains = rows.select(F.col("c_custkey").cast("string").alias("id"), F.call_function("div", F.round("c_acctbal").cast("int"), F.lit(10)).alias("sequence"), F.col("c_nationkey").alias("species_id"), name.alias("species_name"))
+    dear = orders.where("o_totalprice > 490000").select(F.col("o_custkey").cast("string").alias("id")).distinct()
+    known = chains.join(dear, "id", "left_semi").where("species_name IS NOT NULL").select("sequence", "species_name")
+    return corrections.species_problems(chains, known).withColumn("id", F.col("id").cast("long"))
