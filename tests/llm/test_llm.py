@@ -475,6 +475,14 @@ def test_urls(spark):
     assert (got.host[got.page_id < 4] == "").all() and url_filter.op5_url_filter(pages.limit(0)).count() == 0
 
 
+def test_verdicts_of_the_contract(spark):
+    """Each rule's verdict, on its own host and on a subdomain; the net/de/ rule allows."""
+    listed = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+    pages = spark.createDataFrame([(i, f"http://{sub}{rule}x") for i, (rule, sub) in enumerate((r, s) for r in listed for s in ("", "b."))], "page_id long, url string")
+    got = url_filter.op5_url_filter(pages).collect()
+    assert {(r.rule, r.verdict) for r in got} == set(listed.items()) and len(got) == 10
+
+
 def test_very_long_urls(spark):
     """A host of half a million labels, and a path of a megabyte: in seconds, as only suffixes of the rules' labels are keys."""
     urls = ["http://" + "a." * 500_000 + "net/de/x", "http://" + "b." * 500_000 + "example.com/en/7" + "/" * 1_000_000, "http://" + "c" * 1_000_000 + "/en/"]
