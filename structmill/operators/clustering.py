@@ -4,13 +4,15 @@ Each kernel takes rows group, a, b, distance and works on the matrix of one
 group, in one row of a Spark table: memory is the square of a group's items, so
 groups are meant to be classes of some thousands at most.  With a cutoff, what
 is farther apart than the cutoff never shares a cluster or clique: groups are
-first parted into connected components, and a task holds one component.
+first parted into connected components; small groups within one task, of large
+ones a task holds one component.
 Missing and negative distances count as the group's largest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,20 +27,22 @@ from structmill.shared import saved
 #: Heights that stand for "forced apart"; two tight groups of some size stay apart where a merge's height and nearest pair are both large and alike.
 FORCED_HEIGHT, SOME_SIZE, LARGE_GAP, ALIKE, TIGHT = 10.0, 3, 0.6, 0.2, 0.4
 CLIQUE_RATIO = 0.9
+#: Sums held at once by the search for leaf orders; distances of a group up to which one task parts it into components.
+MOST_SUMS, MOST_AT_ONCE = 1_000_000, 50_000
 
 
-def matrix(rows: pd.DataFrame, directed: bool = False) -> tuple[list, np.ndarray]:
-    ids = sorted(set(rows["a"]) | set(rows["b"]))
-    at = {x: i for i, x in enumerate(ids)}
+def matrix(rows: Mapping[str, np.ndarray] | pd.DataFrame, directed: bool = False) -> tuple[list, np.ndarray]:
+    ids, at = np.unique(np.concatenate([rows["a"], rows["b"]]), return_inverse=True)
     out = np.full((len(ids), len(ids)), np.nan)
-    i, j, d = rows["a"].map(at).to_numpy(), rows["b"].map(at).to_numpy(), rows["distance"].to_numpy(float)
-    out[i, j] = np.where(d < 0, np.nan, d)
+    half = len(at) // 2
+    d = np.asarray(rows["distance"], float)
+    out[at[:half], at[half:]] = np.where(d < 0, np.nan, d)
     if not directed:
         out = np.fmin(out, out.T)
     top = np.nanmax(out) if np.isfinite(out).any() else 0.0
-    out = np.where(np.isnan(out), top, out)
+    out[np.isnan(out)] = top
     np.fill_diagonal(out, 0.0)
-    return ids, out
+    return ids.tolist(), out
 
 
 def average_linkage(d: np.ndarray, cutoff: float = np.inf) -> list[tuple[int, int, float]]:
@@ -50,7 +54,8 @@ def average_linkage(d: np.ndarray, cutoff: float = np.inf) -> list[tuple[int, in
     for k in range(n - 1):
         # of equal heights the clusters of smallest numbers
         at = np.argwhere(mean == mean.min())
-        i, j = min((tuple(sorted((int(number[a]), int(number[b])))) + (int(a), int(b)) for a, b in at))[2:]
+        at = at[number[at[:, 0]] < number[at[:, 1]]] if k < n - 2 else at
+        i, j = at[0].tolist() if len(at) == 1 else min((tuple(sorted((int(number[a]), int(number[b])))) + (int(a), int(b)) for a, b in at))[2:]
         if number[i] > number[j]:
             i, j = j, i
         if mean[i, j] > cutoff:
@@ -131,14 +136,36 @@ def insertion_order(d: np.ndarray) -> list[int]:
 def tree_penalty(d: np.ndarray) -> np.ndarray:
     """Height of the tree's merge that joins two items, scaled to the mean distance."""
     n = len(d)
-    out, members = np.zeros((n, n)), {i: [i] for i in range(n)}
+    out, members = np.zeros((n, n)), {i: np.array([i]) for i in range(n)}
     for k, (i, j, height) in enumerate(average_linkage(d)):
         a, b = members.pop(i), members.pop(j)
-        out[np.ix_(a, b)], out[np.ix_(b, a)] = height, height
-        members[n + k] = a + b
+        out[a[:, None], b] = out[b[:, None], a] = height
+        members[n + k] = np.concatenate([a, b])
     return out * d.mean() / max(1e-8, out.mean())
 
 
+@lru_cache(16)
+def _permutations(n: int, repetitions: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return np.array([rng.permutation(n) for _ in range(repetitions)])
+
+
+def inserted_paths(d: np.ndarray, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``inserted_path`` of each row of ``orders``, all at once: the paths and their lengths."""
+    every, paths = np.arange(len(orders)), orders[:, :2]
+    lengths = d[paths[:, 0], paths[:, 1]]
+    for k in range(2, orders.shape[1]):
+        x, before, after = orders[:, k], paths[:, :-1], paths[:, 1:]
+        growth = np.concatenate([d[x, paths[:, 0]][:, None], d[paths[:, -1], x][:, None], d[before, x[:, None]] + d[x[:, None], after] - d[before, after]], axis=1)
+        best = growth.argmin(1)
+        lengths = lengths + growth[every, best]
+        at = np.where(best == 0, 0, np.where(best == 1, k, best - 1))
+        place = np.arange(k + 1)
+        paths = paths[every[:, None], np.minimum(place - (place > at[:, None]), k - 1)]
+        paths[every, at] = x
+    return paths, lengths
+
+
 def inserted_path(d: np.ndarray, order: np.ndarray) -> tuple[list[int], float]:
     """Items in ``order``, each put where the path grows least: of equal places the front, then the end, then the first."""
     path = [int(x) for x in order[:2]]
@@ -167,9 +194,8 @@ def penalised_order(d: np.ndarray, repetitions: int = 100, seed: int = 1) -> lis
     n = len(d)
     if n <= 2:
         return list(range(n))
-    rng, costs = np.random.default_rng(seed), d + tree_penalty(d)
-    path, _ = min((inserted_path(costs, rng.permutation(n)) for _ in range(repetitions)), key=lambda p: p[1])
-    return oriented(d, path)
+    paths, lengths = inserted_paths(d + tree_penalty(d), _permutations(n, repetitions, seed))
+    return oriented(d, paths[lengths.argmin()].tolist())
 
 
 def optimal_leaf_order(d: np.ndarray) -> list[int]:
@@ -187,18 +213,23 @@ def optimal_leaf_order(d: np.ndarray) -> list[int]:
     near, far = np.zeros((n, n), np.int32), np.zeros((n, n), np.int32)
     for k, (i, j, _) in enumerate(average_linkage(d)):
         a, b = leaves.pop(i), leaves.pop(j)
-        inside_a, inside_b = cost[np.ix_(a, a)], cost[np.ix_(b, b)]
-        reach, by = np.empty((len(a), len(b))), np.empty((len(a), len(b)), int)
-        for q, y in enumerate(b):
-            over = inside_a + d[a, y]
-            by[:, q] = over.argmin(1)
-            reach[:, q] = over[np.arange(len(a)), by[:, q]]
-        for p, u in enumerate(a):
-            over = reach[p][:, None] + inside_b
-            into = over.argmin(0)
-            cost[u, b] = cost[b, u] = over[into, np.arange(len(b))]
-            near[u, b], far[u, b] = a[by[p, into]], b[into]
-            near[b, u], far[b, u] = far[u, b], near[u, b]
+        inside_a, inside_b = cost[a[:, None], a], cost[b[:, None], b]
+        across = d[a[:, None], b]
+        # blocks of rows, so that the sums over all three leaves stay small
+        step = max(1, MOST_SUMS // (len(a) * len(b)))
+        for low in range(0, len(a), step):
+            over = inside_a[low : low + step, :, None] + across
+            by = over.argmin(1)
+            reach = over.min(1)
+            u = a[low : low + step]
+            for left in range(0, len(u), wide := max(1, MOST_SUMS // len(b) ** 2)):
+                some, rows = u[left : left + wide], slice(left, left + wide)
+                over = reach[rows, :, None] + inside_b
+                into = over.argmin(1)
+                here, there = (some[:, None], b), (b[:, None], some)
+                cost[here] = over.min(1)
+                near[here], far[here] = a[np.take_along_axis(by[rows], into, 1)], b[into]
+                cost[there], near[there], far[there] = cost[here].T, far[here].T, near[here].T
         # a path through both ends in both
         cost[np.ix_(a, a)], cost[np.ix_(b, b)] = np.inf, np.inf
         leaves[n + k] = np.concatenate([a, b])
@@ -270,26 +301,79 @@ def maximal_cliques(linked: np.ndarray) -> list[list[int]]:
     return out
 
 
+def _lists(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+    """The columns a, b and distance of each row."""
+    parts = []
+    if not batch.num_rows:
+        return
+    for c in ("a", "b", "distance"):
+        column = batch.column(c)
+        parts.append(np.split(column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy())[:-1]))
+    for a, b, distance in zip(*parts):
+        yield {"a": a, "b": b, "distance": distance}
+
+
+def _listed(rows: DataFrame, group: str) -> DataFrame:
+    return rows.groupBy(F.col(group).alias("_g")).agg(*[F.collect_list(F.struct("a", "b", F.coalesce(F.col("distance").cast("double"), F.lit(-1.0)).alias("distance"))).alias("_x")]).select("_g", *[F.col(f"_x.{c}").alias(c) for c in ("a", "b", "distance")])
+
+
 def grouped(rows: DataFrame, group: str, kernel: Callable[[np.ndarray], list[list[int]]], value: str, item_type: str) -> DataFrame:
     """group, item and ``value``: the kernel's lists of items of each group, numbered; an item's number is its list's, or its place if there is one list alone."""
-    listed = rows.groupBy(F.col(group).alias("_g")).agg(*[F.collect_list(c).alias(c) for c in ("a", "b", "distance")])
     schema = f"_g {dict(rows.dtypes)[group]}, item {item_type}, {value} int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups, items, values = [], [], []
-            for k in range(batch.num_rows):
-                ids, d = matrix(pd.DataFrame({c: batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("a", "b", "distance")}))
+            counts, items, values = [], [], []
+            for columns in _lists(batch):
+                ids, d = matrix(columns)
                 lists = kernel(d)
-                numbered = enumerate(lists[0]) if value == "place" else ((n, i) for n, some in enumerate(lists) for i in some)
-                pairs = [(n, ids[i]) for n, i in numbered]
-                groups += [batch.column("_g")[k].as_py()] * len(pairs)
-                items += [i for _, i in pairs]
-                values += [n for n, _ in pairs]
-            types = [batch.schema.field("_g").type, batch.schema.field("a").type.value_type, pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((groups, items, values), types)], names=["_g", "item", value])
+                numbered = list(enumerate(lists[0]) if value == "place" else ((n, i) for n, some in enumerate(lists) for i in some))
+                counts.append(len(numbered))
+                items += [ids[i] for _, i in numbered]
+                values += [n for n, _ in numbered]
+            groups = batch.column("_g").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+            yield pa.RecordBatch.from_arrays([groups, pa.array(items, batch.schema.field("a").type.value_type), pa.array(values, pa.int32())], names=["_g", "item", value])
+
+    return _listed(rows, group).mapInArrow(run, schema).withColumnRenamed("_g", group)
+
+
+def _components(d: np.ndarray, cutoff: float) -> list[np.ndarray]:
+    """Items of each component of the pairs at most ``cutoff`` apart, by least item."""
+    linked = d <= cutoff
+    left, out = np.ones(len(d), bool), []
+    for first in range(len(d)):
+        if left[first]:
+            here = new = np.arange(len(d)) == first
+            while new.any():
+                new = linked[new].any(0) & ~here
+                here = here | new
+            left &= ~here
+            out.append(np.flatnonzero(here))
+    return out
+
+
+def _parted(rows: DataFrame, group: str, cutoff: float, kernel: Callable[[np.ndarray], list[list[int]]], item_type: str) -> DataFrame:
+    """_g, _part, item, _list, _first and _size of groups that one task parts into components."""
+    schema = f"_g {dict(rows.dtypes)[group]}, _part {item_type}, item {item_type}, _list int, _first {item_type}, _size long"
 
-    return listed.mapInArrow(run, schema).withColumnRenamed("_g", group)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, out = [], []
+            for columns in _lists(batch):
+                before = len(out)
+                ids, d = matrix(columns)
+                # without any distance nothing is near
+                parts = _components(d, cutoff) if (columns["distance"] >= 0).any() else [np.array([i]) for i in range(len(d))]
+                for part in parts:
+                    for n, some in enumerate(kernel(d[np.ix_(part, part)])):
+                        out += [(ids[part[0]], ids[part[i]], n, ids[part[min(some)]], len(some)) for i in some]
+                counts.append(len(out) - before)
+            item = batch.schema.field("a").type.value_type
+            columns = zip(*out) if out else ((),) * 5
+            arrays = [pa.array(c, t) for c, t in zip(columns, (item, item, pa.int32(), item, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("_g").take(pa.array(np.repeat(np.arange(len(counts)), counts))), *arrays], names=["_g", "_part", "item", "_list", "_first", "_size"])
+
+    return _listed(rows, group).mapInArrow(run, schema)
 
 
 def by_component(rows: DataFrame, group: str, cutoff: float) -> DataFrame:
@@ -311,24 +395,35 @@ def by_component(rows: DataFrame, group: str, cutoff: float) -> DataFrame:
     return inside.unionByName(itself).join(top, "_g").withColumn("distance", F.coalesce("distance", "_top", F.lit(0.0))).drop("_top")
 
 
-def _within(rows: DataFrame, group: str, cutoff: float, kernel, value: str, item_type: str) -> DataFrame:
-    """Lists of each component of a group, numbered by their least item within the group."""
-    parts = by_component(rows, group, cutoff).withColumn("_key", F.struct("_g", "_part"))
+def _within(rows: DataFrame, group: str, cutoff: float, kernel, item_type: str) -> DataFrame:
+    """Lists of each component of a group, with their least item and size.
+
+    A group of at most ``MOST_AT_ONCE`` distances is parted in one task, larger ones (and those with NaN) by Spark.
+    """
+    odd = F.max(F.isnan(F.col("distance").cast("double")))
+    large = saved(rows.groupBy(group).agg(F.count("*").alias("_n"), odd.alias("_odd")).where((F.col("_n") > MOST_AT_ONCE) | F.col("_odd")).select(group), "large-groups")
+    if large.isEmpty():
+        return _parted(rows, group, cutoff, kernel, item_type).withColumnRenamed("_g", group)
+    same = F.col(group).eqNullSafe(F.col("_large"))
+    named = large.withColumnRenamed(group, "_large")
+    small, rest = rows.join(named, same, "left_anti"), rows.join(named, same, "left_semi")
+    parts = by_component(rest, group, cutoff).withColumn("_key", F.struct("_g", "_part"))
     found = grouped(parts, "_key", kernel, "_list", item_type).select("_key._g", "_key._part", "item", "_list")
     order = found.groupBy("_g", "_part", "_list").agg(F.min("item").alias("_first"), F.count("*").alias("_size"))
-    return found.join(order, ["_g", "_part", "_list"]).withColumnRenamed("_g", group)
+    found = found.join(order, ["_g", "_part", "_list"]).select("_g", "_part", "item", "_list", "_first", "_size")
+    return found.unionByName(_parted(small, group, cutoff, kernel, item_type)).withColumnRenamed("_g", group)
 
 
 def cluster_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "long") -> DataFrame:
     """group, item, cluster by average linkage up to the cutoff; clusters are numbered by their least item."""
     lists = lambda d: [np.flatnonzero(c).tolist() for c in (lambda labels: labels == np.arange(labels.max() + 1)[:, None])(clusters(average_linkage(d, cutoff), len(d)))]
-    found = _within(rows, group, cutoff, lists, "cluster", item_type)
+    found = _within(rows, group, cutoff, lists, item_type)
     return found.select(group, "item", (F.dense_rank().over(Window.partitionBy(group).orderBy("_first")) - 1).cast("int").alias("cluster"))
 
 
 def guarded_cluster_groups(rows: DataFrame, group: str, item_type: str = "long") -> DataFrame:
     """group, item, cluster by average linkage with merges that may be refused; the largest cluster first, then by least item."""
-    found = _within(rows, group, FORCED_HEIGHT, guarded_clusters, "cluster", item_type)
+    found = _within(rows, group, FORCED_HEIGHT, guarded_clusters, item_type)
     order = Window.partitionBy(group).orderBy(F.desc("_size"), "_first")
     return found.select(group, "item", (F.dense_rank().over(order) - 1).cast("int").alias("cluster"))
 
@@ -339,7 +434,7 @@ def clique_groups(rows: DataFrame, group: str, cutoff: float, item_type: str = "
     Cliques are numbered by size, then by least item, over the components of a group.
     """
     kernel = (lambda d: maximal_cliques(d <= cutoff)) if ratio is None else (lambda d: tight_cliques(d <= cutoff, d, ratio, criterion))
-    found = _within(rows, group, cutoff, kernel, "clique", item_type)
+    found = _within(rows, group, cutoff, kernel, item_type)
     order = Window.partitionBy(group).orderBy(F.desc("_size"), "_first", "_part")
     return found.select(group, "item", (F.dense_rank().over(order) - 1).cast("int").alias("clique"))
 

@@ -171,3 +171,35 @@ def test_queries(spark, name, kernel, value):
         else:
             at = {x: i for i, x in enumerate(ids)}
             assert all((d[np.ix_(c, c)] <= 0.5).all() for c in ([at[i] for i in x["item"]] for _, x in part.groupby("clique")))
+
+
+def test_groups_at_once_or_by_spark(spark, monkeypatch):
+    """Groups parted in one task (without a round of Spark's components) give what large ones give."""
+    rows = [(g, f"i{i}", f"i{j}", None if (i + j) % 5 == 0 else float(abs(i * i - j * j) % 17) - (g == 3)) for g in range(5) for i in range(9) for j in range(i)]
+    rows += [(7, "x", "y", None), (8, "x", "y", 1.0)]
+    table = spark.createDataFrame(rows, "g long, a string, b string, distance double")
+    asks = [lambda: C.cluster_groups(table, "g", 3.0, "string"), lambda: C.guarded_cluster_groups(table, "g", "string"), lambda: C.clique_groups(table, "g", 3.0, "string"), lambda: C.clique_groups(table, "g", 3.0, "string", ratio=0.9)]
+    large = []
+    for most in (0, 40):
+        monkeypatch.setattr(C, "MOST_AT_ONCE", most)
+        large.append([sorted(map(tuple, ask().collect())) for ask in asks])
+    monkeypatch.setattr(C, "MOST_AT_ONCE", 50_000)
+    monkeypatch.setattr(C, "connected_components", None)
+    assert [sorted(map(tuple, ask().collect())) for ask in asks] == large[0] == large[1]
+
+
+def test_paths_at_once():
+    """All insertions of many orders together are those of each alone, ties included."""
+    for n in (3, 4, 9, 17):
+        for d in (distances(n, n), np.round(distances(n, n + 1))):
+            orders = C._permutations(n, 40, 3)
+            paths, lengths = C.inserted_paths(d, orders)
+            assert [C.inserted_path(d, o) for o in orders] == [(p.tolist(), x) for p, x in zip(paths, lengths)]
+
+
+def test_leaf_orders_in_blocks(monkeypatch):
+    for n in (3, 8, 15):
+        expected = C.optimal_leaf_order(distances(n, n))
+        for most in (1, 10, 40):
+            monkeypatch.setattr(C, "MOST_SUMS", most)
+            assert C.optimal_leaf_order(distances(n, n)) == expected
