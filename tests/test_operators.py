@@ -177,3 +177,15 @@ def test_a_crash_while_replacing_loses_nothing(spark, tmp_path, monkeypatch):
         sinks.replace(spark, spark.range(n), path)
         assert sinks.current(spark, path).count() == n
     assert len(sinks.versions(spark, path)) == 2
+
+
+def test_overlapping_sets(spark):
+    """Every pair that shares an element once, however many it shares."""
+    sets = {k: sorted({(k * a) % 7 for a in range(1, k % 5 + 2)}) for k in range(1, 30)}
+    found = relational.overlapping_sets(spark.createDataFrame(list(sets.items()), "o long, s array<long>"), "o", "s").collect()
+
+    def kind(a, b):
+        return "exact" if a == b else "contained" if a < b else "enclose" if a > b else "partial"
+
+    plain = [(x, y, kind(set(sets[x]), set(sets[y]))) for x in sets for y in sets if x < y and set(sets[x]) & set(sets[y])]
+    assert sorted(map(tuple, found)) == sorted(plain)
