@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from structmill.operators.relational import assert_none
+from structmill.shared import discard, saved
 
 KEY = ("pdb", "model", "chain", "number", "ins_code", "alt_id", "symmetry")
+#: The columns of a key that rewrites change, and those that they keep.
+CHANGED = ("model", "alt_id", "symmetry")
+KEPT = ("pdb", "chain", "number", "ins_code")
 #: The identity, the identity of viral structures, the first alternate, and what species are not.
 IDENTITY, VIRAL, FIRST_ALTERNATE, SYNTHETIC_NAME = "1_555", "P_1", "A", "synthetic construct"
 
@@ -44,14 +48,24 @@ def corrected(wanted: DataFrame, known: DataFrame, *, require_all: bool = True)
     Both have a column unit.  Two known units of one key, a wanted one without correction (if all are required) and two wanted ones of
     one correction are errors.
     """
-    there = known.select(F.col("unit").alias("corrected"), decoded(F.col("unit")).alias("k")).distinct()
-    spread = there.select("corrected", *[F.col(f"k.{c}").alias(f"_{c}") for c in KEY])
-    assert_none(spread.groupBy(*[f"_{c}" for c in KEY]).count().where("count > 1"), "several units of")
-    each = wanted.select("unit").distinct().select("unit", F.posexplode(rewrites(decoded(F.col("unit")))).alias("order", "k")).where("k IS NOT NULL").select("unit", "order", "k.*")
+    there = known.select(F.col("unit").alias("corrected"), decoded(F.col("unit")).alias("k"))
+    # what no rewrite changes leads to all known units that one could find
+    listed = F.collect_set(F.struct(*[F.col(f"k.{c}").alias(c) for c in CHANGED], "corrected"))
+    there = saved(there.groupBy(*[F.col(f"k.{c}").alias(f"_{c}") for c in KEPT]).agg(listed.alias("known")), "known-units")
+    keys = F.transform("known", lambda x: F.struct(*[x[c] for c in CHANGED]))
+    assert_none(there.where(F.size(F.array_distinct(keys)) < F.size("known")), "several units of")
+    asked = wanted.select("unit").distinct().select("unit", decoded(F.col("unit")).alias("k"))
     same = F.lit(True)
-    for c in KEY:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    found = each.join(spread, same).groupBy("unit").agg(F.min_by("corrected", "order").alias("corrected"))
+    for c in KEPT:
+        same = same & F.col(f"k.{c}").eqNullSafe(F.col(f"_{c}"))
+
+    def there_is(key: Column) -> Column:
+        equal = lambda x: x["model"].eqNullSafe(key["model"]) & x["alt_id"].eqNullSafe(key["alt_id"]) & x["symmetry"].eqNullSafe(key["symmetry"])
+        return F.when(key.isNotNull(), F.get(F.filter("known", equal), F.lit(0))["corrected"])
+
+    first = F.get(F.filter(F.transform(rewrites(F.col("k")), there_is), lambda x: x.isNotNull()), F.lit(0))
+    found = saved(asked.join(there, same).select("unit", first.alias("corrected")).where("corrected IS NOT NULL"), "corrected")
+    discard(there)
     if require_all:
         assert_none(wanted.select("unit").distinct().join(found, "unit", "left_anti"), "could not correct")
     assert_none(found.groupBy("corrected").count().where("count > 1"), "several units became")

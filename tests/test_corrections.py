@@ -53,3 +53,18 @@ def test_species_problems(spark):
     several = "Multiple species assigned to this sequence: E. coli: (a), Human: (b)"
     unexpected = "Unexpected species Bee, Frog assigned to this sequence Expected one of Fly"
     assert got == {"a": several, "b": several, "c": several, "d": several, "e": "Species with no assigned name. Taxon id: 4", "f": "Unlikely species name: (Yeast sp.)", "g": unexpected, "h": unexpected, "i": unexpected}
+
+
+def test_rewrites_are_not_written_out(spark):
+    """A wanted unit is joined once, by what no rewrite changes: the plan holds no row per rewrite."""
+    known = spark.createDataFrame([("1S72|1|A|G|5||A||2_555",), ("1S72|1|A|G|6||||P_1",)], "unit string")
+    wanted = spark.createDataFrame([("1S72|2|A|G|5||||2_555",), ("1S72|1|A|G|6",), ("1S72|1|A|G|7",)], "unit string")
+    planned = []
+    before = corrections.saved
+    corrections.saved = lambda df, name: planned.append(df._jdf.queryExecution().toString()) or before(df, name)
+    try:
+        found = corrections.corrected(wanted, known, require_all=False).collect()
+    finally:
+        corrections.saved = before
+    assert sorted(map(tuple, found)) == [("1S72|1|A|G|6", "1S72|1|A|G|6||||P_1"), ("1S72|2|A|G|5||||2_555", "1S72|1|A|G|5||A||2_555")]
+    assert len(planned) == 2 and not any("Generate" in p for p in planned)
