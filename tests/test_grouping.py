@@ -173,3 +173,18 @@ def test_elements_of_random_structures(spark):
         counts += [(f"s{s}", a, b, rng.choice([1, 2, 3, 4, 5, 6])) for a in names for b in names if a != b and rng.random() < 2 / size]
     found = compare(spark, spark.createDataFrame(chains, "structure string, chain string, bps int, internal int, length int, full_length int"), spark.createDataFrame(counts, "structure string, chain_1 string, chain_2 string, n int"))
     assert any(len(a) < len(b) for s in found.values() for a, b in ((n.split("+"), c) for n, c in s.items()))
+
+
+def test_structures_at_once_or_by_rounds(spark, monkeypatch):
+    """Structures of few pairs, whose components one task finds, give what rounds of Spark give."""
+    rng = random.Random(4)
+    chains = [(f"s{s}", f"c{c}", rng.randint(0, 12), rng.randint(0, 9), rng.randint(1, 70), 80) for s in range(12) for c in range(7)]
+    counts = [(f"s{s}", f"c{a}", f"c{b}", rng.randint(0, 8)) for s in range(12) for a in range(7) for b in range(7) if a != b and rng.random() < 0.35]
+    tables = spark.createDataFrame(chains, "structure string, chain string, bps int, internal int, length int, full_length int"), spark.createDataFrame(counts, "structure string, chain_1 string, chain_2 string, n int")
+    by_size = []
+    for most in (0, 7):
+        monkeypatch.setattr(elements, "MOST_AT_ONCE", most)
+        by_size.append(sorted(map(tuple, elements.element_members(*tables).collect())))
+    monkeypatch.setattr(elements, "MOST_AT_ONCE", 1000)
+    monkeypatch.setattr(elements, "connected_components", None)
+    assert sorted(map(tuple, elements.element_members(*tables).collect())) == by_size[0] == by_size[1] and by_size[0]
