@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from structmill.shared import small
+
 #: Statuses of usable loops, internal loops of at most so many units are broken chains, fields of a unit id with a symmetry, its default, and the fields that name a unit without it.
 USABLE, SHORTEST_INTERNAL, FULL_FIELDS, NO_SYMMETRY, NAME_FIELDS = (1, 3), 4, 9, "P_1", 5
 
@@ -61,6 +63,6 @@ def discrepancy_table(similarities: DataFrame, element_chains: DataFrame) -> Dat
 
     ``similarities``: chain_1, chain_2, discrepancy; ``element_chains``: element, chain, index.
     """
-    first = element_chains.where("index = 0")
+    first = small(element_chains.where("index = 0").select("chain", "element").distinct(), 500_000)
     side = lambda k: first.select(F.col("chain").alias(f"chain_{k}"), F.col("element").alias(f"element_{k}"))
     return similarities.where("chain_1 < chain_2").join(side(1), "chain_1").join(side(2), "chain_2").select("element_1", "element_2", "discrepancy").distinct()
