@@ -189,3 +189,29 @@ def test_overlapping_sets(spark):
 
     plain = [(x, y, kind(set(sets[x]), set(sets[y]))) for x in sets for y in sets if x < y and set(sets[x]) & set(sets[y])]
     assert sorted(map(tuple, found)) == sorted(plain)
+
+
+@pytest.mark.parametrize("most", [1, 3, 12])
+def test_maximal_sets_of_few_members(spark, monkeypatch, most):
+    """Sets over few members, so that most are inside others; larger ones than ``most`` are compared by their rarest member."""
+    monkeypatch.setattr(relational, "MOST_MEMBERS", most)
+    sets = {k: {(k * a * a + a) % 9 for a in range(k % 6 + 1)} for k in range(120)}
+    rows = spark.createDataFrame([(k, m) for k, s in sets.items() for m in sorted(s)] + [(0, None)], "o long, p long")
+    found = {r.o for r in relational.maximal_sets(rows, "o", "p").collect()}
+    assert found == {k for k, s in sets.items() if not any(s < t for t in sets.values())}
+
+
+def test_maximal_sets_over_fifty_parts():
+    """The query's SQL keeps its fifty members, which make orders meet."""
+    from structmill.plans.queries import ORACLES
+
+    assert "l_partkey % 50" in ORACLES["maximal_sets"]
+
+
+def test_parts_grow_with_the_table(spark):
+    from structmill.plans.queries import _near
+    from structmill.shared import parts_of
+
+    assert [parts_of(spark.range(n), 10) for n in (0, 80, 81, 400)] == [8, 8, 9, 40]
+    orders = spark.createDataFrame([(i % 7, i, float(i)) for i in range(40)], "o_custkey long, o_orderkey long, o_totalprice double")
+    assert "REPARTITION_BY_NUM" in _near(orders)._jdf.queryExecution().toString()
