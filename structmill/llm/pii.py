@@ -11,8 +11,9 @@ adds spans that overlap none of the patterns' spans.
 Kinds in order: email, ip, card, phone, secret, id, address, name (the last four the
 CRF's alone).  Positions are code points, end exclusive.  Defined cases: null text is
 empty and has no spans; repeated rows are each searched; null ids pass through.
-Memory is a few dozen bytes a word of a slice of texts (``words.CHUNK`` bytes, or one
-longer text).
+Memory is a few hundred bytes a word of a slice of texts (``SLICE`` bytes, or one
+longer text, of which ``CHAINS`` chains are decoded at once) and what ``KNOWN``
+distinct words tell.
 """
 
 from __future__ import annotations
@@ -254,6 +255,8 @@ MOST_WORDS = 12
 OFFSETS = (0, -1, -2, 1, 2)
 #: Distinct words that a task keeps what they tell of.
 KNOWN = 100_000
+#: Bytes of texts that are searched at once, and chains decoded at once.
+SLICE, CHAINS = 1 << 19, 1536
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -492,25 +495,41 @@ def viterbi(e: np.ndarray, move: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Told:
-    """What distinct words tell at each of ``OFFSETS``, kept for the words of a task; emptied when full."""
+    """What distinct words tell, kept for the words of a task; emptied when full.
+
+    ``own`` is what a word tells at itself and ``near`` at the other ``OFFSETS``, one row for all words (``which``) that tell the same there.
+    """
 
     def __init__(self, emit: np.ndarray):
-        self.emit, self.at, self.rows = emit, {}, np.zeros((1024, len(OFFSETS), emit.shape[1]), np.float32)
+        self.emit, self.at, self.near_at = emit, {}, {}
+        self.own, self.which = np.zeros((1024, emit.shape[1]), np.float32), np.zeros(1024, np.int32)
+        self.near = np.zeros((256, len(OFFSETS) - 1, emit.shape[1]), np.float32)
+
+    def _near(self, found: list[list[int]]) -> int:
+        key = tuple(map(tuple, found))
+        row = self.near_at.get(key)
+        if row is None:
+            row = self.near_at[key] = len(self.near_at)
+            if row == len(self.near):
+                self.near = np.append(self.near, np.empty_like(self.near), 0)
+            self.near[row] = [self.emit[f].sum(0) for f in found]
+        return row
 
     def of(self, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Row of each word in ``rows``; ``h`` are the words' keys."""
+        """Row of each word in ``own`` and ``which``; ``h`` are the words' keys."""
         distinct, first, index = np.unique(h, return_index=True, return_inverse=True)
         if len(self.at) + len(distinct) > KNOWN:
             self.at.clear()
+            self.near_at.clear()
         rows = np.empty(len(distinct), np.int64)
         for j, (x, i) in enumerate(zip(distinct.tolist(), first.tolist())):
             row = self.at.get(x)
             if row is None:
                 row = self.at[x] = len(self.at)
-                if row == len(self.rows):
-                    self.rows = np.append(self.rows, np.empty_like(self.rows), 0)
-                found = features(data[start[i] : end[i]].tobytes().decode())
-                self.rows[row] = [self.emit[f].sum(0) for f in found]
+                if row == len(self.own):
+                    self.own, self.which = np.append(self.own, np.empty_like(self.own), 0), np.append(self.which, np.empty_like(self.which))
+                own, *near = features(data[start[i] : end[i]].tobytes().decode())
+                self.own[row], self.which[row] = self.emit[own].sum(0), self._near(near)
             rows[j] = row
         return rows[index]
 
@@ -528,19 +547,19 @@ def labels_of(h: np.ndarray, doc: np.ndarray, data: np.ndarray, start: np.ndarra
     which = np.searchsorted(new, core, "right") - 1
     lo, stop = np.maximum(core - EDGE, new[which]), np.minimum(core + CORE, last[which])
     hi = np.minimum(stop + EDGE, last[which])
-    for k in range(0, len(core), 4096):  # cores in order, so that a part's words stand together
-        a, b = int(lo[k]), int(hi[k : k + 4096].max())
+    for k in range(0, len(core), CHAINS):  # cores in order, so that a part's words stand together
+        a, b = int(lo[k]), int(hi[k : k + CHAINS].max())
         rows = told.of(h[a:b], data, start[a:b], end[a:b])
-        gain = told.rows[rows, 0]
+        gain, near = told.own[rows], told.which[rows]
         for o, shift in enumerate(OFFSETS[1:], 1):
             i, j = (slice(-shift, None), slice(None, shift)) if shift < 0 else (slice(None, -shift), slice(shift, None))
-            gain[i] += np.where((doc[a:b][i] == doc[a:b][j])[:, None], told.rows[rows[j], o], 0)
+            gain[i] += np.where((doc[a:b][i] == doc[a:b][j])[:, None], told.near[near[j], o - 1], 0)
         worth = np.append(0, np.cumsum(gain[:, 1:].max(1) - gain[:, 0] + lead >= 0))
-        part = np.arange(k, min(k + 4096, len(core)))
+        part = np.arange(k, min(k + CHAINS, len(core)))
         part = part[worth[hi[part] - a] > worth[lo[part] - a]]
         part = part[np.argsort(hi[part] - lo[part], kind="stable")]
-        for q in range(0, len(part), 2048):
-            some = part[q : q + 2048]
+        for q in range(0, len(part), CHAINS):
+            some = part[q : q + CHAINS]
             sizes = hi[some] - lo[some]
             at = lo[some][:, None] + np.arange(int(sizes.max()))
             path = viterbi(gain[np.minimum(at, hi[some][:, None] - 1) - a], move, sizes)
@@ -577,7 +596,7 @@ def find(column: pa.Array, model, told: Told | None = None):
     emit, move = model
     told = told or Told(emit)
     data, offsets = W.buffers(column)
-    for lo, hi in W.slices(offsets):
+    for lo, hi in W.slices(offsets, SLICE):
         part, local = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         start, end, doc = W.bounds(part, local)
         labels = labels_of(alike(W.hashes(part, start, end, False), part, start, end), doc, part, start, end, told, move)
