@@ -90,7 +90,7 @@ def sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         counts, sizes = np.zeros(1 << SKETCH_BITS, np.uint32), np.zeros(SLICE, np.uint32)
         for batch in batches:
             for lo, hi, s, owner in shingle_sets(batch.column("text"), width):
-                counts += np.bincount(_bucket(s), minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, _bucket(s), np.uint32(1))  # without a second table of its size
                 n = np.bincount(owner, minlength=hi - lo)
                 sizes[: LIGHT_AT_MOST + 1] += np.bincount(n[n <= LIGHT_AT_MOST], minlength=LIGHT_AT_MOST + 1).astype(np.uint32)
         parts = [sizes, *counts.reshape(-1, SLICE)]

@@ -79,14 +79,19 @@ def train(texts: Iterable[str], labels: np.ndarray, p: Params) -> np.ndarray:
         return np.append(np.zeros(1 << p.bits), np.log(rate / (1 - rate))).astype(np.float32)
     least = min(p.min_texts, max(1, n // 20))
     seen = np.zeros(1 << p.bits, np.int32)
-    docs = []
+    # of all texts end to end: pieces of their own would leave the worker's memory in shreds
+    every, shares, many = bytearray(), bytearray(), []
     for text in texts:
         ids, counts = _buckets(text, p)
         seen[ids] += 1
-        docs.append((ids.astype(np.int32), (counts / max(counts.sum(), 1)).astype(np.float32)))
-    for i, (ids, share) in enumerate(docs):
-        known = seen[ids] >= least
-        docs[i] = ids[known], share[known]
+        every += ids.astype(np.int32).tobytes()
+        shares += (counts / max(counts.sum(), 1)).astype(np.float32).tobytes()
+        many.append(len(ids))
+    known = (seen >= least)[np.frombuffer(every, np.int32)]
+    ends = np.append(0, np.cumsum([np.count_nonzero(k) for k in np.split(known, np.cumsum(many)[:-1])]))
+    every = np.frombuffer(every, np.int32)[known]
+    shares = np.frombuffer(shares, np.float32)[known]
+    docs = [(every[a:b], shares[a:b]) for a, b in zip(ends[:-1], ends[1:])]
     vectors = rng.normal(0, 1e-3, (1 << p.bits, p.dim)).astype(np.float32)
     out = rng.normal(0, 1 / np.sqrt(p.dim), p.dim).astype(np.float32)
     out = np.stack([-out, out])

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log10
@@ -15,7 +16,7 @@ from conftest import SMALLEST
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from structmill.llm import decontaminate, jaccard, mixing, pii, pitman_yor, quality, substrings, subword, topk, toxicity, url_filter
+from structmill.llm import decontaminate, jaccard, mixing, pii, pitman_yor, quality, substrings, subword, topk, toxicity, url_filter, words
 from structmill.llm.shared import saved
 from structmill.llm.queries import ORACLES, QUERIES
 
@@ -45,6 +46,21 @@ ROWS = [
 ]
 
 
+def test_memory_of_workers(documents):
+    """What two workers of an executor hold beside its heap: tables, slices of texts, and the training's texts in one piece."""
+    texts = pa.array((documents.select("text").where("text is not null").limit(1000).toPandas()["text"].tolist() * 4)[:2000])
+    assert words._POW.nbytes + words._INV.nbytes <= 4 << 20
+    tracemalloc.start()
+    for _ in jaccard.shingle_sets(texts, 5):
+        pass
+    assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    subword.log_odds(texts, np.zeros((1 << 18) + 1, np.float32), subword.Params())
+    assert tracemalloc.get_traced_memory()[1] - before < 24 << 20
+    tracemalloc.stop()
+
+
 @pytest.fixture(scope="module")
 def messy(spark):
     return table(spark, ROWS)
