@@ -43,6 +43,16 @@ def test_length_band(spark, a, b, want):
     assert (relational.length_band(rows, "kind", "id", "length").count() == 1) == want
 
 
+def test_length_band_of_many_rows(spark, monkeypatch):
+    """Parts of a block change no pair, and no group of the join holds a whole octave of it."""
+    rows = spark.range(600).selectExpr("if(id % 7 = 0, 'b', 'a') AS kind", "id", "5 + (id * 37) % 400 AS length")
+    once = sorted(map(tuple, relational.length_band(rows, "kind", "id", "length").collect()))
+    monkeypatch.setattr(relational, "BAND_ROWS", 20)
+    parted = relational.length_band(rows, "kind", "id", "length")
+    assert sorted(map(tuple, parted.collect())) == once and len(once) > 10_000
+    assert "_i" in parted._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_unit_ids(spark):
     rows = spark.createDataFrame([("1ABC|1|A|G|7",), ("1ABC|1|A|G|7||||P_2",), ("1ABC|1|A",)], "u string").select(ids.unit_fields(F.col("u")).alias("f"))
     got = [r.f for r in rows.collect()]
