@@ -33,7 +33,8 @@ def interaction_sets(interactions: DataFrame) -> DataFrame:
     each = interactions.select("unit_1", "unit_2", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("label")) for k in KINDS])).alias("x"))
     own = (F.col("unit_1") == F.col("unit_2")) & (F.col("x.kind") == "basephosphate") & F.col("x.label").contains("0BPh")
     kept = each.where(F.col("x.label").isNotNull() & (F.col("x.label") != "") & ~F.col("x.label").startswith("n") & ~own)
-    return kept.select(F.col("unit_1").alias("unit"), "x.kind", F.col("unit_2").alias("partner")).distinct()
+    # dealt by unit, as what joins them asks, so that they are shuffled once
+    return kept.select(F.col("unit_1").alias("unit"), "x.kind", F.col("unit_2").alias("partner")).repartition("unit").distinct()
 
 
 def loop_quality(loops: DataFrame, positions: DataFrame, statuses: DataFrame, motifs: DataFrame, quality: DataFrame, interactions: DataFrame) -> DataFrame:
@@ -50,7 +51,8 @@ def loop_quality(loops: DataFrame, positions: DataFrame, statuses: DataFrame, mo
     names = [f"{side}_{k}" for side in ("internal", "external") for k in KINDS]
     found = met.groupBy("loop", "unit").agg(*counts)
     status = F.element_at(F.create_map(*[F.lit(x) for kv in STATUS_NAMES.items() for x in kv]), F.col("status"))
-    rows = loops.join(positions, "loop").join(statuses, "loop").join(motifs, "loop", "left").join(quality, "unit", "left").join(found, ["loop", "unit"], "left")
+    # what a loop has in common joins last, so that it is not shuffled with its units
+    rows = positions.join(found, ["loop", "unit"], "left").join(quality, "unit", "left").join(loops, "loop").join(statuses, "loop").join(motifs, "loop", "left")
     rows = rows.withColumns({n: F.coalesce(n, F.lit(0)).cast("long") for n in names}).withColumn("status", status)
     total = lambda side: sum((F.col(f"{side}_{k}") for k in KINDS[1:]), F.col(f"{side}_{KINDS[0]}"))
     return rows.select("loop", "type", "motif", "unit", "status", "rsr", "rsrz", *names, total("internal").alias("internal_interactions"), total("external").alias("external_interactions"), (total("internal") + total("external")).alias("total_interactions"))

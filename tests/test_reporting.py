@@ -3,6 +3,10 @@
 import pytest
 
 from structmill.operators import elements, reporting
+from conftest import SMALLEST
+from structmill.operators import motifs
+from structmill.plans import tables
+from structmill.shared import saved
 
 
 def test_pairing(spark):
@@ -49,3 +53,21 @@ def test_hubs(spark):
     assert [r.chain for r in got] == ["h"] + [f"p{k:02}" for k in range(10)] and {r.structure for r in got} == {"s"}
     assert [r.is_integral for r in got] == [True] + [False] * 10 and got[0].element == "h" and got[0].length == 11
     assert elements.hub_elements(table.where("chain_2 <> 'p09'")).count() == 0
+
+
+def test_loops_join_their_units_last(spark):
+    """A loop's type and motif are not shuffled with its units, nor interactions twice."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tables.QUERIES["loop_quality_report"](spark, SMALLEST)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= 20
+
+
+def test_loops_are_gathered_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(motifs, "saved", lambda df, name: written.append(name) or saved(df, name))
+    plan = tables.QUERIES["loop_identity"](spark, SMALLEST)._jdf.queryExecution().executedPlan().toString()
+    assert written == ["new_loops", "old_loops"] and "lineitem" not in plan
