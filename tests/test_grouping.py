@@ -79,6 +79,32 @@ def test_edges_of_a_busy_sequence_grow_with_its_chains(spark):
     assert edges.count() <= 8 * 3000
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_sets_of_sequences_against_all_pairs(spark, seed):
+    """Sequences of one set align with all others of it; classes are those of the pairs written out, edges are not their number."""
+    rng = random.Random(seed)
+    chains = random_chains(rng, 40)
+    sets = [(k, s) for k in range(4) for s in range(6) if rng.random() < (0.2, 0.4, 0.6)[seed % 3]]
+    pairs = [(a, b) for a in range(40) for b in range(a + 1, 40) if rng.random() < 0.06]
+    discrepancies = [] if seed == 5 else [(a, b, rng.choice([-1.0, 0.0, 0.2, 0.4, 0.41])) for a, b in pairs if a % 5 and b % 5]
+    itself = [(s, s, rng.choice([0, 1])) for s in range(6)]
+    written = [(s, t, 1) for k, s in sets for j, t in sets if j == k and s < t]
+    got = equivalence.equivalence_classes(
+        spark.createDataFrame(chains, "id int, seq int, species string, length int, method string, resolution double, bp int, name string"),
+        spark.createDataFrame(itself, "seq_1 int, seq_2 int, good int"),
+        spark.createDataFrame(discrepancies, "id_1 int, id_2 int, discrepancy double"),
+        alike=spark.createDataFrame(sets + sets[:2], "set int, seq int"),
+    )
+    assert {r.id: (r.group, r.part, r.rank) for r in got.collect()} == plain_classes(chains, itself + written, discrepancies, [])
+
+
+def test_edges_of_a_large_set_grow_with_its_chains(spark):
+    chains = spark.range(3000).select(F.col("id"), F.col("id").alias("seq"), F.lit(None).cast("string").alias("species"), F.lit(2).alias("length"), F.lit("X").alias("method"), F.lit(1.0).alias("resolution"))
+    sets = spark.range(3000).select(F.lit("s").alias("set"), F.col("id").alias("seq"))
+    nothing = spark.createDataFrame([], "seq_1 long, seq_2 long, good int"), spark.createDataFrame([], "id_1 long, id_2 long, discrepancy double")
+    assert 3000 <= equivalence.equivalence_edges(chains, *nothing, alike=sets).count() <= 10 * 3000
+
+
 class Group:
     def __init__(self, chain):
         self.chains = {chain}
