@@ -58,11 +58,12 @@ def loops_table(loops: DataFrame, motifs: DataFrame, release: str) -> DataFrame:
     return loops.join(current, "loop", "left").select(F.col("loop").alias("id"), "entry", F.array_join("units", ",").alias("units"), "motif")
 
 
-def discrepancy_table(similarities: DataFrame, element_chains: DataFrame) -> DataFrame:
+def discrepancy_table(similarities: DataFrame, element_chains: DataFrame, once: bool = False) -> DataFrame:
     """element_1, element_2, discrepancy of each pair of elements by their first chains, once and without an element's own.
 
-    ``similarities``: chain_1, chain_2, discrepancy; ``element_chains``: element, chain, index.
+    ``similarities``: chain_1, chain_2, discrepancy, which with ``once`` lists no pair twice; ``element_chains``: element, chain, index.
     """
     first = small(element_chains.where("index = 0").select("chain", "element").distinct(), 500_000)
     side = lambda k: first.select(F.col("chain").alias(f"chain_{k}"), F.col("element").alias(f"element_{k}"))
-    return similarities.where("chain_1 < chain_2").join(side(1), "chain_1").join(side(2), "chain_2").select("element_1", "element_2", "discrepancy").distinct()
+    found = similarities.where("chain_1 < chain_2").join(side(1), "chain_1").join(side(2), "chain_2").select("element_1", "element_2", "discrepancy")
+    return found if once else found.distinct()

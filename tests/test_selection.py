@@ -1,6 +1,8 @@
 """Loops left out for each reason, and export tables, by hand."""
 
-from structmill.operators import selection
+from pyspark.sql import functions as F
+
+from structmill.operators import relational, selection
 
 
 def plain(names):
@@ -50,3 +52,14 @@ def test_export_tables(spark):
     similar = frame([(1, 2, 0.5), (2, 1, 0.5), (1, 3, 0.1), (2, 2, 0.0), (2, 4, 0.7)], "chain_1 int, chain_2 int, discrepancy double")
     chains = frame([("A", 1, 0), ("B", 2, 0), ("B+C", 2, 0), ("A", 3, 1), ("D", 4, 0)], "element string, chain int, index int")
     assert sorted(map(tuple, selection.discrepancy_table(similar, chains).collect())) == [("A", "B", 0.5), ("A", "B+C", 0.5), ("B", "D", 0.7), ("B+C", "D", 0.7)]
+
+
+def test_similar_pairs_are_not_made_distinct(spark):
+    """Pairs that are listed once are not shuffled again, and large groups' pairs are dealt out."""
+    rows = spark.range(300).selectExpr("id % 2 AS nation", "id AS chain", "id * id % 101 AS x")
+    dealt = relational.dealt_pairs(rows, "nation", "chain", ("x",), most=20)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, relational.pairs_within(rows, "nation", "chain", ("x",)).collect()))
+    assert len({r.p for r in dealt.select(F.spark_partition_id().alias("p")).distinct().collect()}) > 8
+    chains = rows.selectExpr("chain AS element", "chain", "0 AS index")
+    found = selection.discrepancy_table(dealt.selectExpr("chain_1", "chain_2", "abs(x_1 - x_2) AS discrepancy"), chains, once=True)
+    assert found.count() == dealt.count() and "Aggregate [element_1" not in found._jdf.queryExecution().optimizedPlan().toString()
