@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from structmill.operators.relational import assert_none
 from structmill.shared import discard, saved
@@ -49,27 +50,30 @@ def corrected(wanted: DataFrame, known: DataFrame, *, require_all: bool = True)
     one correction are errors.
     """
     there = known.select(F.col("unit").alias("corrected"), decoded(F.col("unit")).alias("k"))
-    # what no rewrite changes leads to all known units that one could find
+    # what no rewrite changes, as one value whose nulls equal each other, leads to all known units that one could find
+    kept = F.struct(*[F.col(f"k.{c}").alias(c) for c in KEPT]).alias("kept")
     listed = F.collect_set(F.struct(*[F.col(f"k.{c}").alias(c) for c in CHANGED], "corrected"))
-    there = saved(there.groupBy(*[F.col(f"k.{c}").alias(f"_{c}") for c in KEPT]).agg(listed.alias("known")), "known-units")
+    there = saved(there.groupBy(kept).agg(listed.alias("known")), "known-units")
     keys = F.transform("known", lambda x: F.struct(*[x[c] for c in CHANGED]))
     assert_none(there.where(F.size(F.array_distinct(keys)) < F.size("known")), "several units of")
-    asked = wanted.select("unit").distinct().select("unit", decoded(F.col("unit")).alias("k"))
-    same = F.lit(True)
-    for c in KEPT:
-        same = same & F.col(f"k.{c}").eqNullSafe(F.col(f"_{c}"))
+    # units are dealt once by that value, and what a rewrite changes is read from them again below the join, not shuffled
+    asked = wanted.select("unit", decoded(F.col("unit")).alias("k")).select("unit", kept).repartition("kept").distinct()
+    asked = asked.withColumn("k", decoded(F.col("unit")))
 
     def there_is(key: Column) -> Column:
         equal = lambda x: x["model"].eqNullSafe(key["model"]) & x["alt_id"].eqNullSafe(key["alt_id"]) & x["symmetry"].eqNullSafe(key["symmetry"])
         return F.when(key.isNotNull(), F.get(F.filter("known", equal), F.lit(0))["corrected"])
 
     first = F.get(F.filter(F.transform(rewrites(F.col("k")), there_is), lambda x: x.isNotNull()), F.lit(0))
-    found = saved(asked.join(there, same).select("unit", first.alias("corrected")).where("corrected IS NOT NULL"), "corrected")
+    matched = asked.join(there, "kept").select("kept", "unit", first.alias("corrected")).where("corrected IS NOT NULL")
+    # two units of one correction share what no rewrite changes
+    of = F.count("*").over(Window.partitionBy("kept", "corrected"))
+    found = saved(matched.withColumn("of", of).select("unit", "corrected", "of"), "corrected")
     discard(there)
     if require_all:
         assert_none(wanted.select("unit").distinct().join(found, "unit", "left_anti"), "could not correct")
-    assert_none(found.groupBy("corrected").count().where("count > 1"), "several units became")
-    return found
+    assert_none(found.where("of > 1").select("corrected", "of"), "several units became")
+    return found.drop("of")
 
 
 def corrected_column(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:

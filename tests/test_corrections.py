@@ -68,3 +68,18 @@ def test_rewrites_are_not_written_out(spark):
         corrections.saved = before
     assert sorted(map(tuple, found)) == [("1S72|1|A|G|6", "1S72|1|A|G|6||||P_1"), ("1S72|2|A|G|5||||2_555", "1S72|1|A|G|5||A||2_555")]
     assert len(planned) == 2 and not any("Generate" in p for p in planned)
+
+
+def test_wanted_units_are_dealt_once(spark):
+    """Wanted units are dealt out by what no rewrite changes alone, for the join and for the count of a correction's units."""
+    known = spark.createDataFrame([("1S72|1|A|G|5||A||2_555",), ("1S72|1|A|G|6||||P_1",)], "unit string")
+    wanted = spark.createDataFrame([("1S72|2|A|G|5||||2_555",), ("1S72|1|A|G|6",), ("1S72|1|A|G|6",)], "unit string")
+    plans = {}
+    before = corrections.saved
+    corrections.saved = lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or before(df, name)
+    try:
+        assert corrections.corrected(wanted, known).count() == 2
+    finally:
+        corrections.saved = before
+    dealt = [line.split("hashpartitioning(")[1] for line in plans["corrected"].splitlines() if "hashpartitioning(" in line]
+    assert dealt and all(line.startswith("kept#") for line in dealt)
